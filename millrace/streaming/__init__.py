@@ -1,0 +1,5 @@
+"""Nothing of its own: the toolkit works on batches.
+
+Row-wise steps with fitted values (recode, ``Scaler.transform``, ``split_hash``, logistic and model
+scoring) are projections and take a streaming DataFrame as it is.
+"""
