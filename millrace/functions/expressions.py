@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,12 +18,25 @@ def number(c: str | Column) -> Column:
     return F.nanvl(as_column(c).cast("double"), F.lit(None).cast("double"))
 
 
-def dot(weights: Sequence[float], features: Sequence[str | Column]) -> Column:
-    """``w0 + w1*x1 + ... + wd*xd``: the weights carry the bias first."""
+def dot_text(weights: Sequence[float], features: Sequence[str]) -> str:
+    """``w0 + w1*x1 + ... + wd*xd`` as an expression text; the weights carry the bias first.
+
+    One text is parsed at once, where building the same from Column objects takes a call to the
+    JVM per operation.
+    """
     if len(weights) != len(features) + 1:
         raise ValueError(f"{len(weights)} weights for {len(features)} features and a bias")
-    terms = [F.lit(float(w)) * as_column(x) for w, x in zip(weights[1:], features)]
-    return reduce(add, terms, F.lit(float(weights[0])))
+    bias, *rest = [_double_text(w) for w in weights]
+    return " + ".join([bias, *[f"{w} * `{x}`" for w, x in zip(rest, features)]])
+
+
+def _double_text(value: float) -> str:
+    value = float(value)
+    return f"{value!r}D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
+
+
+def dot(weights: Sequence[float], features: Sequence[str]) -> Column:
+    return F.expr(dot_text(weights, features))
 
 
 def with_bias(features: Sequence[str | Column]) -> Column:

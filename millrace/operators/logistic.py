@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from millrace.functions.expressions import (
     as_column,
     dot,
+    dot_text,
     hard_class,
     logistic_loss,
     logistic_slope,
@@ -26,7 +27,9 @@ from millrace.functions.expressions import (
 )
 from millrace.session import keep
 
-WIDE = 128  # more features than this go through Arrow batches instead of generated code
+# More features than this go through Arrow batches. Whole-stage code generation ends at 100 fields
+# (spark.sql.codegen.maxFields), and a pass adds up eleven numbers besides the gradient.
+WIDE = 80
 COUNTS = ("tp", "fp", "tn", "fn")
 INTERCEPT = "intercept"
 
@@ -77,12 +80,16 @@ class Pass:
 class Rows:
     """Rows ready for passes: signed label ``y``, flag ``is_train`` and the features.
 
-    Few features are columns ``x1..xd``; many are one array column ``x``.
+    Few features are columns ``x1..xd``; many are one array column ``x``. What a pass adds up
+    does not depend on the weights, so those expressions are built once.
     """
 
     df: DataFrame
     width: int
     wide: bool
+    loss: Loss
+    steps: Sequence[Column] = ()
+    sums: dict[str, Column] = field(default_factory=dict)
 
 
 def prepare_rows(
@@ -90,29 +97,50 @@ def prepare_rows(
     features: Sequence[str] | str,
     label: str,
     is_train: Column | None = None,
+    loss: Loss = LOGISTIC,
     wide: bool | None = None,
 ) -> Rows:
     """``features``: column names, or the name of one array column, whose length is that of the
     first row. The label may be 0/1 or -1/+1.
     """
     y = signed_label(label).alias("y")
-    flag = (F.lit(True) if is_train is None else is_train).alias("is_train")
+    flag = F.coalesce(F.lit(True) if is_train is None else is_train, F.lit(False)).alias("is_train")
     if isinstance(features, str):
         x = F.col(features).cast("array<double>")
         first = df.filter(F.col(features).isNotNull()).select(F.size(features)).head()
-        return Rows(df.select(y, flag, x.alias("x")), first[0] if first else 0, True)
+        return Rows(df.select(y, flag, x.alias("x")), first[0] if first else 0, True, loss)
     columns = [F.col(c).cast("double") for c in features]
     if wide or (wide is None and len(columns) > WIDE):
-        return Rows(df.select(y, flag, F.array(*columns).alias("x")), len(columns), True)
+        return Rows(df.select(y, flag, F.array(*columns).alias("x")), len(columns), True, loss)
     named = [c.alias(f"x{j}") for j, c in enumerate(columns, start=1)]
-    return Rows(df.select(y, flag, *named), len(columns), False)
+    steps, sums = _sums(loss, len(columns))
+    return Rows(df.select(y, flag, *named), len(columns), False, loss, steps, sums)
+
+
+def _sums(loss: Loss, width: int) -> tuple[list[Column], dict[str, Column]]:
+    """What a pass derives from the score ``z`` of a row, and what it adds up."""
+    y, z, training = F.col("y"), F.col("z"), F.col("is_train")
+    names = [f"x{j}" for j in range(1, width + 1)]
+    steps = [
+        *[F.col(c) for c in ("y", "is_train", "z", *names)],
+        F.when(training, loss.value(y, z)).alias("loss"),
+        F.when(training, loss.slope(y, z)).alias("w"),
+    ]
+    sums = {"loss": F.sum("loss"), "g0": F.sum("w")}
+    for j, name in enumerate(names, start=1):
+        sums[f"g{j}"] = F.sum(F.col("w") * F.col(name))
+    for part, among in (("train", training), ("test", ~training)):
+        for cell, hit in _cells(y, z).items():
+            sums[f"{part}_{cell}"] = F.count_if(among & hit)
+    sums["unscored"] = F.count_if(z.isNull() | F.isnan(z) | y.isNull())
+    return steps, {name: value.alias(name) for name, value in sums.items()}
 
 
-def run_pass(rows: Rows, beta: Sequence[float], loss: Loss = LOGISTIC) -> Pass:
+def run_pass(rows: Rows, beta: Sequence[float]) -> Pass:
     beta = [float(b) for b in beta]
     if len(beta) != rows.width + 1:
         raise ValueError(f"{len(beta)} weights for {rows.width} features and a bias")
-    sums = _wide_sums(rows, beta, loss) if rows.wide else _narrow_sums(rows, beta, loss)
+    sums = _wide_sums(rows, beta) if rows.wide else _narrow_sums(rows, beta)
     counted = {name: {c: int(sums[f"{name}_{c}"]) for c in COUNTS} for name in ("train", "test")}
     return Pass(
         loss=sums["loss"],
@@ -123,24 +151,10 @@ def run_pass(rows: Rows, beta: Sequence[float], loss: Loss = LOGISTIC) -> Pass:
     )
 
 
-def _narrow_sums(rows: Rows, beta: list[float], loss: Loss) -> dict[str, float]:
-    names = [f"x{j}" for j in range(1, rows.width + 1)]
-    scored = rows.df.select("y", "is_train", *names, dot(beta, names).alias("z"))
-    y, z, training = F.col("y"), F.col("z"), F.col("is_train")
-    scored = scored.select(
-        "y", "is_train", *names, "z",
-        F.when(training, loss.value(y, z)).alias("loss"),
-        F.when(training, loss.slope(y, z)).alias("w"),
-    )
-    sums = {"loss": F.sum("loss"), "g0": F.sum("w")}
-    for j, name in enumerate(names, start=1):
-        sums[f"g{j}"] = F.sum(F.col("w") * F.col(name))
-    for part, among in (("train", training), ("test", ~training)):
-        for cell, hit in _cells(y, z).items():
-            sums[f"{part}_{cell}"] = F.count_if(among & hit)
-    sums["unscored"] = F.count_if(z.isNull() | F.isnan(z) | y.isNull())
-    row = scored.agg(*[value.alias(name) for name, value in sums.items()]).first()
-    return {name: row[name] or 0.0 for name in sums}
+def _narrow_sums(rows: Rows, beta: list[float]) -> dict[str, float]:
+    z = F.expr(dot_text(beta, [f"x{j}" for j in range(1, rows.width + 1)])).alias("z")
+    row = rows.df.select("*", z).select(*rows.steps).agg(*rows.sums.values()).first()
+    return {name: row[name] or 0.0 for name in rows.sums}
 
 
 def _cells(y: Column, z: Column) -> dict[str, Column]:
@@ -153,8 +167,9 @@ def _cells(y: Column, z: Column) -> dict[str, Column]:
     }
 
 
-def _wide_sums(rows: Rows, beta: list[float], loss: Loss) -> dict[str, float]:
+def _wide_sums(rows: Rows, beta: list[float]) -> dict[str, float]:
     """Each task adds up its Arrow batches with matrix products and emits one row per sum."""
+    loss = rows.loss
     if loss.batch_value is None or loss.batch_slope is None:
         raise ValueError("this loss has no batch form, which wide rows need")
     bias, weights, width = beta[0], np.array(beta[1:]), rows.width
@@ -197,16 +212,14 @@ def _batch_sums(batch: pa.RecordBatch, bias: float, weights: np.ndarray, loss: L
 # -- sums as tables -----------------------------------------------------------------------
 
 
-def total_loss(rows: Rows, beta: Sequence[float], lam: float = 0.0, loss: Loss = LOGISTIC) -> float:
+def total_loss(rows: Rows, beta: Sequence[float], lam: float = 0.0) -> float:
     """Sum of the losses over the train rows plus ``lam * |beta|^2``."""
-    return _checked(run_pass(rows, beta, loss)).loss + lam * float(np.dot(beta, beta))
+    return _checked(run_pass(rows, beta)).loss + lam * float(np.dot(beta, beta))
 
 
-def total_gradient(
-    rows: Rows, beta: Sequence[float], lam: float = 0.0, loss: Loss = LOGISTIC
-) -> np.ndarray:
+def total_gradient(rows: Rows, beta: Sequence[float], lam: float = 0.0) -> np.ndarray:
     """Sum of the gradients over the train rows plus ``2 * lam * beta``; bias first."""
-    return _checked(run_pass(rows, beta, loss)).gradient + 2.0 * lam * np.asarray(beta, dtype="float64")
+    return _checked(run_pass(rows, beta)).gradient + 2.0 * lam * np.asarray(beta, dtype="float64")
 
 
 def vector_frame(spark: SparkSession, names: Sequence[str], values: Sequence[float]) -> DataFrame:
@@ -313,20 +326,20 @@ def train(
     passes of n updates read the same rows: only label, flag and features are kept, in memory
     and on executor disks; ``cache=False`` reads the input each time.
     """
-    rows = prepare_rows(df, features, label, is_train, wide)
+    rows = prepare_rows(df, features, label, is_train, loss, wide)
     names = [f"{features}[{j}]" for j in range(rows.width)] if isinstance(features, str) else list(features)
     weights = np.zeros(rows.width + 1) if beta is None else np.array(beta, dtype="float64")
     history: list[tuple] = []
-    kept = Rows(keep(rows.df), rows.width, rows.wide) if cache else rows
+    kept = replace(rows, df=keep(rows.df)) if cache else rows
     try:
         norm, k, state = 2.0 * eps, 1, None
         while k < max_iter and norm > eps:
             if state is None:
-                state = _checked(run_pass(kept, weights, loss))
+                state = _checked(run_pass(kept, weights))
             gradient = state.gradient + 2.0 * lam * weights
             weights = weights - alpha * gradient
             norm = math.sqrt(float(gradient @ gradient))
-            state = run_pass(kept, weights, loss)
+            state = run_pass(kept, weights)
             value = state.loss + lam * float(weights @ weights)
             history.append((k, value, norm, float(alpha), *_rates(state.train), *_rates(state.test)))
             k += 1

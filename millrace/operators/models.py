@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.prepare import assemble
@@ -89,3 +89,16 @@ def fit_perceptron(
 def score(model: Model, df: DataFrame, features: Sequence[str] | str) -> DataFrame:
     """Add the vector and the model's ``prediction`` and ``probability``. A projection."""
     return model.transform(vectors(df, features))
+
+
+def training_curve(model: Model, spark: SparkSession) -> DataFrame:
+    """Training loss of a freshly fitted perceptron, one row per iteration."""
+    losses = [(i, float(loss)) for i, loss in enumerate(model.summary().objectiveHistory)]
+    return spark.createDataFrame(losses, "iteration int, loss double")
+
+
+def boosting_curve(model: Model, df: DataFrame, features: Sequence[str] | str, label: str = "label") -> DataFrame:
+    """Mean loss of boosted trees on a table, one row per number of rounds."""
+    losses = model.evaluateEachIteration(_training(df, features, label), "logistic")
+    rows = [(i, float(loss)) for i, loss in enumerate(losses, start=1)]
+    return df.sparkSession.createDataFrame(rows, "iteration int, loss double")

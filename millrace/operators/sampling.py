@@ -191,7 +191,7 @@ def sample_exact(
 
 def complement(df: DataFrame, taken: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``taken``, for samples that were stored by someone else."""
-    return df.join(taken.select(*keys), list(keys), "left_anti")
+    return df.join(taken.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def shuffle_rows(df: DataFrame, keys: Sequence[str], seed: int = 0) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import models, prepare, sampling
 from millrace.plans import jobs, profile_queries  # noqa: F401  (registers the SQL used below)
 from millrace.plans.registry import FF, FL, ORDER_FEATURES, ORACLES, query, r, rounded
-from millrace.session import scratch_path
+from millrace.session import freeze, scratch_path
 from millrace.sources import frames, readers, writers
 from millrace.sources.frames import LINE_FEATURES
 
@@ -17,13 +17,13 @@ _STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCAL
 _OUT = ", ".join(r(f"({c} - m_{c}) / s_{c}", c) for c in _SCALED)
 _MERGED = f"""{FF}, mg AS (SELECT o_orderkey,
   CASE WHEN label_012 = 2 THEN 1.0::DOUBLE ELSE label_012 END AS label, o_totalprice, sum_qty, avg_disc FROM ff
-  UNION ALL SELECT o_orderkey, label::DOUBLE, o_totalprice, sum_qty, avg_disc FROM ff WHERE label = 1),
+  UNION ALL SELECT o_orderkey, label::DOUBLE, o_totalprice, sum_qty, avg_disc FROM ff),
 st AS (SELECT {_STATS} FROM mg)"""
 
 
 def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     three = frames.order_frame_3(spark, folder).select("o_orderkey", "label_012", *_SCALED)
-    binary = frames.order_frame(spark, folder).filter("label = 1")
+    binary = frames.order_frame(spark, folder)
     return three, binary.select("o_orderkey", F.col("label").cast("double"), *_SCALED)
 
 
@@ -99,7 +99,13 @@ def _scored(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    return frames.order_frame(spark, folder)
+    """The joined frame, stored once: the jobs read it several times."""
+    return freeze(frames.order_frame(spark, folder))
+
+
+def _balanced(df: DataFrame) -> DataFrame:
+    """The second table of the forest jobs: the orders with equal class sizes."""
+    return sampling.oversample(df, "label", _KEY).drop("copy")
 
 
 @query()
@@ -140,13 +146,13 @@ def score_second_table(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def forest_job(spark: SparkSession, folder: str) -> DataFrame:
     df = _orders(spark, folder)
-    return jobs.forest_job(df, df.filter("n_lines > 4"), ORDER_FEATURES, "label", _KEY).metrics
+    return jobs.forest_job(df, _balanced(df), ORDER_FEATURES, "label", _KEY).metrics
 
 
 @query()
 def large_forest_job(spark: SparkSession, folder: str) -> DataFrame:
     df = _orders(spark, folder)
-    job = jobs.large_forest_job(df, df.filter("n_lines > 4"), ORDER_FEATURES, "label", _KEY, trees=30, depth=8)
+    job = jobs.large_forest_job(df, _balanced(df), ORDER_FEATURES, "label", _KEY, trees=30, depth=8)
     return job.metrics
 
 

@@ -1,4 +1,9 @@
-"""Whole jobs, from tables to models and metrics."""
+"""Whole jobs, from tables to models and metrics.
+
+A job reads its input several times (counting passes over the key, fits, training, scoring), each
+time only the columns it needs. Give it a stored table; a derived one is best stored first with
+``millrace.session.freeze``.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import evaluate, logistic, models, prepare, profile, sampling
-from millrace.session import keep
 from millrace.sources.writers import write_splits
 
 
@@ -69,21 +73,16 @@ def logistic_job(
     before the split, so copies of one row may land in both parts.
     """
     size = sampling.floor_size(share)
-    slim = keep(df.select(*keys, label, *features))
-    try:
-        if order == "split_first":
-            parts = sampling.split_exact(slim, keys, size, seed)
-            rows = sampling.oversample(parts, label, keys, seed, within=F.col("part") == "train")
-        elif order == "balance_first":
-            balanced = sampling.oversample(slim, label, keys, seed)
-            rows = sampling.split_exact(balanced, [*keys, "copy"], size, seed)
-        else:
-            raise ValueError("order must be 'split_first' or 'balance_first'")
-        return logistic.train(
-            rows, features, label, F.col("part") == "train", lam, eps, max_iter, alpha
-        )
-    finally:
-        slim.unpersist()
+    slim = df.select(*keys, label, *features)
+    if order == "split_first":
+        parts = sampling.split_exact(slim, keys, size, seed)
+        rows = sampling.oversample(parts, label, keys, seed, within=F.col("part") == "train")
+    elif order == "balance_first":
+        balanced = sampling.oversample(slim, label, keys, seed)
+        rows = sampling.split_exact(balanced, [*keys, "copy"], size, seed)
+    else:
+        raise ValueError("order must be 'split_first' or 'balance_first'")
+    return logistic.train(rows, features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
 
 
 @dataclass(frozen=True)

@@ -72,15 +72,15 @@ def correlation_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.correlation_matrix(df, ["label", *ORDER_FEATURES]), ["r"])
 
 
-WIDE_COLUMNS = 24
+WIDE_COLUMNS = 64
 
 
-@query(f"""WITH e AS (SELECT vec_id, unnest(embedding[1:{WIDE_COLUMNS}])::DOUBLE AS v,
+@query(f"""WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v,
   unnest(range({WIDE_COLUMNS})) AS i FROM embeddings)
 SELECT 'e' || a.i AS col_x, 'e' || b.i AS col_y, {r('corr(a.v, b.v)', 'r')}
 FROM e AS a JOIN e AS b USING (vec_id) GROUP BY a.i, b.i""")
 def correlation_matrix_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """As many columns as a survey table has; pair moments come from Arrow batches."""
+    """All entries of the vectors as columns; pair moments come from Arrow batches."""
     names = [f"e{i}" for i in range(WIDE_COLUMNS)]
     df = frames.embedding_frame(spark, folder).select(
         *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]

@@ -94,6 +94,17 @@ def class_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.class_sizes(_orders(spark, folder), "label")
 
 
+@query(f"""WITH {_ORDERS} SELECT label = 1 AS positive, o_orderkey, o_totalprice FROM fo WHERE label IN (0, 1)""")
+def class_partition(spark: SparkSession, folder: str) -> DataFrame:
+    df = _orders(spark, folder)
+    return prepare.merge_tables(
+        [
+            prepare.class_rows(df, "label", value).select(F.lit(value == 1).alias("positive"), *_KEY, "o_totalprice")
+            for value in (1, 0)
+        ]
+    )
+
+
 @query(f"""WITH {_ORDERS}, {oversampled('fo', 'os', 'o_orderkey')}
 SELECT o_orderkey, label, o_totalprice, copy FROM os""")
 def oversample(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,12 +25,12 @@ def recode_rename(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {FF} SELECT o_orderkey, label_binary, o_totalprice, {r('avg_tax', 'avg_tax')} FROM (
   SELECT o_orderkey, CASE WHEN label_012 = 2 THEN 1.0::DOUBLE ELSE label_012 END AS label_binary,
     o_totalprice, avg_tax FROM ff
-  UNION ALL SELECT o_orderkey, label::DOUBLE, o_totalprice, -1.0::DOUBLE FROM ff WHERE label = 1)""")
+  UNION ALL SELECT o_orderkey, label::DOUBLE, o_totalprice, -1.0::DOUBLE FROM ff)""")
 def merge_by_name(spark: SparkSession, folder: str) -> DataFrame:
     """The second table has its columns in another order and lacks one."""
     first = prepare.recode(frames.order_frame_3(spark, folder), "label_012", {2.0: 1.0})
     first = prepare.rename(first, "label_012", "label_binary")
-    second = prepare.to_double(prepare.class_rows(frames.order_frame(spark, folder), "label", 1), ["label"])
+    second = prepare.to_double(frames.order_frame(spark, folder), ["label"])
     second = prepare.rename(second, "label", "label_binary").drop("avg_tax").select(
         "o_totalprice", "label_binary", "o_orderkey"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.expressions import binary_label, coefficient_line
+from millrace.functions.expressions import binary_label
 from millrace.operators import evaluate, logistic, prepare, sampling
 from millrace.plans import jobs
 from millrace.plans.registry import (
@@ -22,7 +22,8 @@ from millrace.plans.registry import (
     split_at,
     zscored,
 )
-from millrace.sources import frames
+from millrace.session import freeze, scratch_path
+from millrace.sources import frames, readers, writers
 from millrace.sources.frames import LINE_FEATURES
 
 # A fixed weight vector for the line frame: it predicts both classes.
@@ -69,7 +70,8 @@ def _squared_hinge_slope(y: Column, z: Column) -> Column:
 def pluggable_loss_gradient(spark: SparkSession, folder: str) -> DataFrame:
     """The same pass with another loss, given as two column builders."""
     loss = logistic.Loss(_squared_hinge, _squared_hinge_slope)
-    gradient = logistic.total_gradient(_line_rows(spark, folder), BETA, LAM, loss)
+    rows = logistic.prepare_rows(frames.line_frame(spark, folder), LINE_FEATURES, "label", loss=loss)
+    gradient = logistic.total_gradient(rows, BETA, LAM)
     return rounded(logistic.vector_frame(spark, LINE_FEATURES, gradient), ["value"], 1).drop("position")
 
 
@@ -139,7 +141,7 @@ UPDATES = 3
 
 
 def _training_frame(spark: SparkSession, folder: str) -> DataFrame:
-    df = frames.order_frame(spark, folder)
+    df = freeze(frames.order_frame(spark, folder))
     return prepare.fit_zscore(df, ORDER_FEATURES).transform(df)
 
 
@@ -157,8 +159,8 @@ def _fit(spark: SparkSession, folder: str) -> logistic.Fit:
 _RATES = [f"{p}_{m}" for p in ("train", "test") for m in ("accuracy", "precision", "recall")]
 
 
-def _rounded_history(fit: logistic.Fit, spark: SparkSession) -> DataFrame:
-    history = rounded(fit.history_frame(spark), ["loss", "grad_norm"], 4)
+def _rounded_history(history: DataFrame) -> DataFrame:
+    history = rounded(history, ["loss", "grad_norm"], 4)
     return rounded(history, _RATES).select("iteration", "loss", "grad_norm", *_RATES)
 
 
@@ -174,7 +176,16 @@ def logistic_train(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_BALANCED}, {descent('tr', ORDER_FEATURES, _ALPHA, LAM, UPDATES)} {history_rows(UPDATES)}")
 def logistic_history(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded_history(_fit(spark, folder), spark)
+    """One row per update: loss, gradient norm and both parts' metrics."""
+    return _rounded_history(_fit(spark, folder).history_frame(spark))
+
+
+@query(f"WITH {_BALANCED}, {descent('tr', ORDER_FEATURES, _ALPHA, LAM, UPDATES)} {history_rows(UPDATES)}")
+def history_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, written and read back."""
+    path = scratch_path(spark, "history")
+    writers.write_history(_fit(spark, folder).history_frame(spark), path)
+    return _rounded_history(readers.read_parquet(spark, path))
 
 
 _LEAKY = f"""{FF}, {_ZS}, {oversampled('zs', 'os', 'o_orderkey')},
@@ -189,7 +200,7 @@ def logistic_balance_first(spark: SparkSession, folder: str) -> DataFrame:
         _training_frame(spark, folder), ORDER_FEATURES, "label", ["o_orderkey"], order="balance_first",
         lam=LAM, max_iter=UPDATES + 1, alpha=_step(spark, folder),
     )
-    return _rounded_history(fit, spark)
+    return _rounded_history(fit.history_frame(spark))
 
 
 @query(f"""WITH {_BALANCED}, {descent('tr', ORDER_FEATURES, _ALPHA, LAM, UPDATES)} SELECT {UPDATES + 1}::INTEGER AS iterations,
@@ -201,9 +212,11 @@ def logistic_convergence(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_BALANCED}, {descent('tr', ORDER_FEATURES, _ALPHA, LAM, UPDATES)} " + " UNION ALL ".join(
     f"SELECT '({t},' || printf('%.6f', w{j}) || ')' AS line FROM b{UPDATES}" for j, t in enumerate(_TERMS)))
-def coefficients_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Weights as text lines."""
-    return _fit(spark, folder).coefficients_frame(spark).select(coefficient_line("term", "value").alias("line"))
+def coefficients_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights written as text lines and read back."""
+    path = scratch_path(spark, "coefficients")
+    writers.write_coefficients(_fit(spark, folder).coefficients_frame(spark), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 # -- metrics of a fixed scorer ----------------------------------------------------------------
@@ -251,8 +264,8 @@ def metrics_by_part(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics, ["accuracy", "precision", "recall"])
 
 
-# Ten classes: the place of the largest of the first ten entries stands for a prediction.
-_TEN = """em AS (SELECT label, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS prediction FROM embeddings),
+# Ten classes: the place of the largest entry, modulo ten, stands for a prediction.
+_TEN = """em AS (SELECT label, (list_position(embedding, list_max(embedding)) - 1) % 10 AS prediction FROM embeddings),
 cl AS (SELECT DISTINCT unnest([label, prediction]) AS class FROM em),
 pc AS (SELECT class, (SELECT count(*) FROM em WHERE label = class) AS actual,
   (SELECT count(*) FROM em WHERE prediction = class) AS predicted,
@@ -262,8 +275,7 @@ ra AS (SELECT *, CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted::DOUBLE EN
 
 
 def _ten_classes(spark: SparkSession, folder: str) -> DataFrame:
-    first = F.slice("embedding", 1, 10)
-    place = F.array_position(first, F.array_max(first)) - 1
+    place = (F.array_position("embedding", F.array_max("embedding")) - 1) % 10
     return frames.table(spark, folder, "embeddings").select("label", place.alias("prediction"))
 
 
