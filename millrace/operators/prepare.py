@@ -62,13 +62,13 @@ class Scaler:
 def fit_zscore(df: DataFrame, columns: Sequence[str]) -> Scaler:
     """Mean and population deviation, in one aggregate.
 
-    A constant column gets width 1 and so scales to 0. Constancy is read off the extremes, which
-    carry no rounding error.
+    A constant column is shifted by its value and gets width 1, so it scales to 0. Constancy is
+    read off the extremes, which carry no rounding error.
     """
     stats = _stats(df, columns, ("avg", "stddev_pop", "min", "max"))
     return Scaler(
         {
-            c: (mean, 1.0 if low is not None and low == high else deviation)
+            c: (low, 1.0) if low is not None and low == high else (mean, deviation)
             for c, (mean, deviation, low, high) in stats.items()
         }
     )
