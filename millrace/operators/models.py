@@ -99,6 +99,6 @@ def training_curve(model: Model, spark: SparkSession) -> DataFrame:
 
 def boosting_curve(model: Model, df: DataFrame, features: Sequence[str] | str, label: str = "label") -> DataFrame:
     """Mean loss of boosted trees on a table, one row per number of rounds."""
-    losses = model.evaluateEachIteration(_training(df, features, label), "logistic")
+    losses = model.evaluateEachIteration(_training(df, features, label))
     rows = [(i, float(loss)) for i, loss in enumerate(losses, start=1)]
     return df.sparkSession.createDataFrame(rows, "iteration int, loss double")
