@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.expressions import number
 from millrace.operators.prepare import column_ranges
 
-JVM_PAIR_COLUMNS = 8  # up to this many columns all pair aggregates fit one generated stage
+PAIR_COLUMNS = 12  # 78 pair sums and 12 sums: below the 100 fields where code generation ends
 
 
 def head_rows(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
@@ -85,80 +85,88 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
         if not (math.isfinite(low) and math.isfinite(high)):
             raise ValueError(f"column {c} holds an infinite value")
         edges[c] = bin_edges(low, high, bins)
-    places = [_bin(c, edges.get(c), bins).alias(c) for c in columns]
+    # One integer per column and row: the bin, offset by the columns before it.
+    slots = [_bin(f"c{i}", edges.get(c), bins) + i * bins for i, c in enumerate(columns)]
     counts = (
-        df.select(*places)
-        .unpivot([], list(columns), "column", "bin")
-        .filter(F.col("bin").isNotNull())
-        .groupBy("column", "bin")
+        df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
+        .select(F.explode(F.array(*slots)).alias("slot"))
+        .filter(F.col("slot").isNotNull())
+        .groupBy("slot")
         .agg(F.count("*").alias("n"))
     )
     grid = df.sparkSession.createDataFrame(
-        [(c, i + 1, *(edges[c][i : i + 2] if c in edges else (None, None)))
-         for c in columns for i in range(bins)],
-        "column string, bin int, low double, high double",
+        [(j * bins + i, c, i + 1, *(edges[c][i : i + 2] if c in edges else (None, None)))
+         for j, c in enumerate(columns) for i in range(bins)],
+        "slot int, column string, bin int, low double, high double",
     )
-    return grid.join(counts, ["column", "bin"], "left").select(
+    return grid.join(counts, "slot", "left").select(
         "column", "bin", "low", "high", F.coalesce("n", F.lit(0).cast("long")).alias("n")
     )
 
 
 def _bin(column: str, edges: list[float] | None, bins: int) -> Column:
+    """Bin number from 0 of a double column; NULL for a missing value."""
+    x = F.col(column)
     if edges is None:
         return F.lit(None).cast("int")
-    x = number(column)
     if edges[0] == edges[-1]:
-        return F.when(x.isNotNull(), bins // 2 + 1)
+        return F.when(x.isNotNull(), bins // 2)
     place = F.when(x.isNull(), None)
-    for i, edge in enumerate(edges[1:-1], start=1):
+    for i, edge in enumerate(edges[1:-1]):
         place = place.when(x < edge, i)
-    return place.otherwise(bins)
+    return place.otherwise(bins - 1)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r of every ordered pair, over the rows where both are present; one pass.
+    """Pearson r of every ordered pair, over the rows where both are present.
 
-    NULL where a side is constant. Few columns: built-in aggregates. More: the number of pair
-    aggregates outgrows generated code, so each task adds up pair moments per Arrow batch with
-    matrix products and emits one row per pair.
+    NULL where a side is constant. Two passes: means and counts, then sums of products around the
+    means, so that large offsets do not cancel. Few columns without gaps take one built-in sum per
+    pair. Otherwise that outgrows generated code, and each task adds up pair moments per Arrow
+    batch with matrix products and emits one row per pair.
     """
     columns = list(columns)
-    if len(columns) <= JVM_PAIR_COLUMNS:
-        pairs = _pairs_builtin(df, columns)
+    clean = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    width = range(len(columns))
+    facts = clean.agg(
+        F.count("*").alias("n"), *[f(f"c{i}").alias(f"{f.__name__}{i}") for i in width for f in (F.avg, F.count)]
+    ).first()
+    means = [facts[f"avg{i}"] or 0.0 for i in width]
+    whole = all(facts[f"count{i}"] == facts["n"] for i in width)
+    if whole and len(columns) <= PAIR_COLUMNS:
+        sums = _pairs_builtin(clean, means, facts["n"])
     else:
-        pairs = _pairs_arrow(df, columns)
+        sums = _pairs_arrow(clean, means)
+    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
+    names = F.array(*[F.lit(c) for c in columns])
+    r = F.try_divide(n * F.col("ab") - sa * sb, _root(n * F.col("qa"), sa) * _root(n * F.col("qb"), sb))
     mirrored = F.array(
-        F.struct(F.col("a").alias("col_x"), F.col("b").alias("col_y"), "r"),
-        F.struct(F.col("b").alias("col_x"), F.col("a").alias("col_y"), "r"),
+        F.struct(names[F.col("i")].alias("col_x"), names[F.col("j")].alias("col_y"), r.alias("r")),
+        F.struct(names[F.col("j")].alias("col_x"), names[F.col("i")].alias("col_y"), r.alias("r")),
     )
-    both = F.when(F.col("a") == F.col("b"), F.slice(mirrored, 1, 1)).otherwise(mirrored)
-    return pairs.select(F.inline(both))
+    return sums.select(F.inline(F.when(F.col("i") == F.col("j"), F.slice(mirrored, 1, 1)).otherwise(mirrored)))
 
 
-def _pairs_builtin(df: DataFrame, columns: list[str]) -> DataFrame:
-    clean = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    width = range(len(columns))
+def _pairs_builtin(clean: DataFrame, means: list[float], n: int) -> DataFrame:
+    """Moments of every pair of columns that have no gaps."""
+    width = range(len(means))
     pairs = [(i, j) for i in width for j in width if i <= j]
-
-    def r(i: int, j: int) -> Column:
-        a = F.when(F.col(f"c{j}").isNotNull(), F.col(f"c{i}"))
-        b = F.when(F.col(f"c{i}").isNotNull(), F.col(f"c{j}"))
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-    row = clean.agg(*[r(i, j).alias(f"r{i}_{j}") for i, j in pairs])
+    centred = clean.select(*[(F.col(f"c{i}") - F.lit(m)).alias(f"d{i}") for i, m in enumerate(means)])
+    # Texts, since many expressions built piece by piece cost a call to the JVM each.
+    products = [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
+    row = centred.agg(*[F.expr(t) for t in [*[f"sum(d{i}) AS s{i}" for i in width], *products]])
     entries = [
-        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.col(f"r{i}_{j}").alias("r"))
+        f"struct({i} AS i, {j} AS j, {n}D AS n, s{i} AS sa, s{j} AS sb, "
+        f"p{i}_{i} AS qa, p{j}_{j} AS qb, p{i}_{j} AS ab)"
         for i, j in pairs
     ]
-    return row.select(F.inline(F.array(*entries)))
+    return row.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
-def _pairs_arrow(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Moments are taken around the column means, so that large offsets do not cancel."""
-    width = len(columns)
-    clean = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    means = clean.agg(*[F.avg(f"c{i}") for i in range(width)]).first()
-    centre = np.array([0.0 if m is None else m for m in means])
+def _pairs_arrow(clean: DataFrame, means: list[float]) -> DataFrame:
+    """Moments of every pair over the rows where both are present."""
+    width = len(means)
+    centre = np.array(means)
     upper = np.triu_indices(width)
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,19 +188,8 @@ def _pairs_arrow(df: DataFrame, columns: list[str]) -> DataFrame:
         )
 
     schema = "i int, j int, n double, sa double, sb double, qa double, qb double, ab double"
-    sums = (
-        clean.mapInArrow(moments, schema)
-        .groupBy("i", "j")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "ab")])
-    )
-    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
-    spread = _root(n * F.col("qa"), sa) * _root(n * F.col("qb"), sb)
-    names = F.array(*[F.lit(c) for c in columns])
-    return sums.select(
-        names[F.col("i")].alias("a"),
-        names[F.col("j")].alias("b"),
-        F.try_divide(n * F.col("ab") - sa * sb, spread).alias("r"),
-    )
+    sums = [F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "ab")]
+    return clean.mapInArrow(moments, schema).groupBy("i", "j").agg(*sums)
 
 
 def _root(squares: Column, total: Column) -> Column:

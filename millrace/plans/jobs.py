@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import evaluate, logistic, models, prepare, profile, sampling
+from millrace.session import widen
 from millrace.sources.writers import write_splits
 
 
@@ -82,7 +83,7 @@ def logistic_job(
         rows = sampling.split_exact(balanced, [*keys, "copy"], size, seed)
     else:
         raise ValueError("order must be 'split_first' or 'balance_first'")
-    return logistic.train(rows, features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
+    return logistic.train(widen(rows), features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
 
 
 @dataclass(frozen=True)
@@ -105,7 +106,7 @@ def forest_job(
 ) -> Trained:
     """Forest on a Bernoulli split, evaluated on its own two parts and on a second table."""
     parts = sampling.split_hash(df, keys, share, seed)
-    model = models.fit_forest(parts.filter("part = 'train'"), features, label, trees, depth, seed=seed)
+    model = models.fit_forest(widen(parts.filter("part = 'train'")), features, label, trees, depth, seed=seed)
     columns = [*keys, F.col(label).alias("label"), "part", *features]
     both = parts.select(*columns).unionByName(second.withColumn("part", F.lit("second")).select(*columns))
     scored = models.score(model, both, features)
@@ -118,7 +119,7 @@ def large_forest_job(
 ) -> Trained:
     """The same with an exact split and a deeper, larger forest."""
     parts = sampling.split_exact(df, keys, sampling.rest_size(test_share), seed)
-    model = models.fit_large_forest(parts.filter("part = 'train'"), features, label, trees, depth, seed)
+    model = models.fit_large_forest(widen(parts.filter("part = 'train'")), features, label, trees, depth, seed)
     columns = [*keys, F.col(label).alias("label"), "part", *features]
     both = parts.select(*columns).unionByName(second.withColumn("part", F.lit("second")).select(*columns))
     scored = models.score(model, both, features)
@@ -135,7 +136,7 @@ def boosted_job(
     if splits_path is not None:
         write_splits(parts, splits_path, [*keys, label, *features])
         parts = df.sparkSession.read.parquet(splits_path)
-    model = models.fit_boosted(parts.filter("part = 'train'"), features, label)
+    model = models.fit_boosted(widen(parts.filter("part = 'train'")), features, label)
     scored = models.score(model, parts.withColumnRenamed(label, "label"), features)
     return _trained(model, scored, evaluate.confusion_counts(scored, part="part"))
 
@@ -150,7 +151,7 @@ def perceptron_job(
     one = F.when(F.col(label) == 1.0, 1).otherwise(0).cast("int").alias("label")
     parts = sampling.split_hash(df.select(*keys, one, *names), keys, share, seed)
     model = models.fit_perceptron(
-        parts.filter("part = 'train'"), features, "label", hidden, inputs, layers=layers,
+        widen(parts.filter("part = 'train'")), features, "label", hidden, inputs, layers=layers,
         iterations=iterations, seed=seed,
     )
     scored = models.score(model, parts.filter("part = 'test'"), features)
@@ -175,7 +176,7 @@ def perceptron_minmax_job(
     scaled = scaler.transform(parts)
     scaled = scaled.fillna(0.0, subset=constant) if constant else scaled
     model = models.fit_perceptron(
-        scaled.filter(training), features, "label", hidden, iterations=iterations, seed=seed
+        widen(scaled.filter(training)), features, "label", hidden, iterations=iterations, seed=seed
     )
     scored = models.score(model, scaled, features)
     counts = evaluate.confusion_counts(

@@ -65,3 +65,11 @@ def freeze(df: DataFrame) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """Persist for repeated passes: blocks that do not fit in memory go to executor disks."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a small table over all cores before iterative work; a table with at least as many
+    partitions as cores is left alone. For frames without a shuffle, where counting partitions
+    runs no job."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
