@@ -35,11 +35,19 @@ def _training(df: DataFrame, features: Sequence[str] | str, label: str) -> DataF
 def fit_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 20,
     depth: int = 4, bins: int = 32, subset: str = "auto", seed: int = 1,
+    node_memory_mb: int = 256, keep_node_ids: bool = False,
 ) -> Model:
-    """Random forest, gini impurity, all features continuous."""
+    """Random forest, gini impurity, all features continuous.
+
+    As many nodes as fit into ``node_memory_mb`` are split per pass over the rows. Kept node ids
+    save walking each row down deep trees in every pass.
+    """
+    if keep_node_ids:
+        set_checkpoint_folder(df.sparkSession)
     learner = RandomForestClassifier(
         labelCol=label, featuresCol=VECTOR, numTrees=trees, maxDepth=depth, maxBins=bins,
-        featureSubsetStrategy=subset, impurity="gini", seed=seed,
+        featureSubsetStrategy=subset, impurity="gini", seed=seed, maxMemoryInMB=node_memory_mb,
+        cacheNodeIds=keep_node_ids,
     )
     return learner.fit(_training(df, features, label))
 
@@ -49,7 +57,9 @@ def fit_large_forest(
     depth: int = 12, seed: int = 1,
 ) -> Model:
     """A forest of 100 deep trees; Spark bounds the depth at 30."""
-    return fit_forest(df, features, label, trees=trees, depth=depth, subset="sqrt", seed=seed)
+    return fit_forest(
+        df, features, label, trees, depth, subset="sqrt", seed=seed, node_memory_mb=1024, keep_node_ids=True
+    )
 
 
 def fit_boosted(
@@ -60,7 +70,7 @@ def fit_boosted(
     set_checkpoint_folder(df.sparkSession)
     learner = GBTClassifier(
         labelCol=label, featuresCol=VECTOR, maxIter=rounds, stepSize=rate, maxDepth=depth,
-        maxBins=bins, minInstancesPerNode=min_rows, seed=seed, checkpointInterval=5,
+        maxBins=bins, minInstancesPerNode=min_rows, seed=seed,
     )
     return learner.fit(_training(df, features, label))
 

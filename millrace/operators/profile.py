@@ -128,12 +128,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     clean = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
     width = range(len(columns))
-    facts = clean.agg(
-        F.count("*").alias("n"), *[f(f"c{i}").alias(f"{f.__name__}{i}") for i in width for f in (F.avg, F.count)]
-    ).first()
+    few = len(columns) <= PAIR_COLUMNS
+    counts = [f"count(c{i}) AS count{i}" for i in width] if few else []
+    facts = clean.agg(*[F.expr(t) for t in ["count(*) AS n", *[f"avg(c{i}) AS avg{i}" for i in width], *counts]]).first()
     means = [facts[f"avg{i}"] or 0.0 for i in width]
-    whole = all(facts[f"count{i}"] == facts["n"] for i in width)
-    if whole and len(columns) <= PAIR_COLUMNS:
+    if few and all(facts[f"count{i}"] == facts["n"] for i in width):
         sums = _pairs_builtin(clean, means, facts["n"])
     else:
         sums = _pairs_arrow(clean, means)

@@ -153,14 +153,17 @@ def split_ranks(
     if None in cuts:
         stored = freeze(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
         return split_ranks(stored, [*keys, ROW_ID], ranks, seed, names, part).drop(ROW_ID)
-    return df.withColumn(part, _part(hashed, cuts, names))
+    return _with_part(df, hashed, cuts, names, part)
 
 
-def _part(hashed: Column, cuts: Sequence[str], names: Sequence[str]) -> Column:
-    place = F.when(hashed < cuts[0], names[0])
+def _with_part(
+    df: DataFrame, hashed: Column, cuts: Sequence[str], names: Sequence[str], part: str
+) -> DataFrame:
+    """The hash is a column of its own first, so that several cuts share it."""
+    place = F.when(F.col("_hash") < cuts[0], names[0])
     for cut, name in zip(cuts[1:], names[1:]):
-        place = place.when(hashed < cut, name)
-    return place.otherwise(names[len(cuts)])
+        place = place.when(F.col("_hash") < cut, name)
+    return df.withColumn("_hash", hashed).withColumn(part, place.otherwise(names[len(cuts)])).drop("_hash")
 
 
 def split_hash(
@@ -172,7 +175,7 @@ def split_hash(
     part: str = "part",
 ) -> DataFrame:
     """Each row by itself with probability ``share``: no job, no counting."""
-    return df.withColumn(part, _part(row_hash(keys, seed), [cut_at(share)], names))
+    return _with_part(df, row_hash(keys, seed), [cut_at(share)], names, part)
 
 
 def split_random(df: DataFrame, share: float = 0.7, seed: int | None = None) -> list[DataFrame]:
@@ -293,17 +296,15 @@ def _draws(
     cuts = poisson_cuts(rate / streams)
     most = len(cuts)
     spread = _streams(df, chosen, keys, streams)
-    hashed = row_hash([*keys, "_stream"], f"{seed}:draw")
-    draws = F.when(F.col("_stream") == 0, 1)
-    for k, cut in enumerate(cuts):
-        draws = draws.when(hashed < cut, k)
+    steps = " ".join(f"WHEN _hash < '{cut}' THEN {k}" for k, cut in enumerate(cuts))
+    draws = F.expr(f"CASE WHEN _stream = 0 THEN 1 {steps} ELSE {most} END")
     number = F.when(F.col("_stream") == 0, 0).otherwise((F.col("_stream") - 1) * most + F.col("_draw"))
     return (
-        spread.withColumn("_draws", draws.otherwise(most))
-        .filter("_draws > 0")
-        .withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_draws").cast("long"))))
+        spread.withColumn("_hash", F.when(F.col("_stream") > 0, row_hash([*keys, "_stream"], f"{seed}:draw")))
+        .withColumn("_draws", draws)
+        .withColumn("_draw", F.explode(F.expr("CASE WHEN _draws > 0 THEN sequence(1L, CAST(_draws AS LONG)) END")))
         .withColumn(copy, number.cast("long"))
-        .drop("_stream", "_draws", "_draw")
+        .drop("_stream", "_hash", "_draws", "_draw")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import models, prepare, sampling
 from millrace.plans import jobs, profile_queries  # noqa: F401  (registers the SQL used below)
-from millrace.plans.registry import FF, FL, ORDER_FEATURES, ORACLES, query, r, rounded
+from millrace.plans.registry import FF, FL, ORDER_FEATURES, ORACLES, oversampled, query, r, rounded, split_at
 from millrace.session import freeze, scratch_path
 from millrace.sources import frames, readers, writers
 from millrace.sources.frames import LINE_FEATURES
@@ -89,9 +89,74 @@ def profile_job(spark: SparkSession, folder: str) -> DataFrame:
     ])
 
 
-# -- models: no SQL can train them, their rows are checked by tests ---------------------------
+# -- models with a known answer ---------------------------------------------------------------
 
 _KEY = ["o_orderkey"]
+_HALF_DAY = """SELECT event_id, CAST(CASE WHEN hour(ts) >= 12 THEN 1 ELSE 0 END AS INTEGER) AS label,
+CAST(CASE WHEN hour(ts) >= 12 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM events"""
+
+
+def _half_day(spark: SparkSession, folder: str, step: int) -> DataFrame:
+    """Events labelled by their half of the day; the feature is the hour in steps."""
+    hour = F.hour("ts")
+    afternoon = F.when(hour >= 12, 1).otherwise(0)
+    return frames.table(spark, folder, "events").select(
+        "event_id", afternoon.alias("label"), F.floor(hour / step).cast("double").alias("clock")
+    )
+
+
+@query(_HALF_DAY)
+def forest_separable(spark: SparkSession, folder: str) -> DataFrame:
+    """A label that one threshold explains: every tree finds it."""
+    df = _half_day(spark, folder, 1)
+    scored = models.score(models.fit_forest(df, ["clock"]), df, ["clock"])
+    return scored.select("event_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query(_HALF_DAY)
+def boosted_separable(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for boosted trees, with as many feature values as they have bins."""
+    df = _half_day(spark, folder, 3)
+    scored = models.score(models.fit_boosted(df, ["clock"]), df, ["clock"])
+    return scored.select("event_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+def _scored_rows(counts: DataFrame) -> DataFrame:
+    """Rows per part and label that a job scored, whatever it predicted."""
+    return counts.groupBy("part", "label").agg(F.sum("n").alias("n"))
+
+
+@query(f"""WITH {FF}, {oversampled('ff', 'os', 'o_orderkey')},
+sp AS (SELECT label, CASE WHEN md5('1:' || o_orderkey) < printf('%013x', floor(0.7::DOUBLE * 4503599627370496)::BIGINT)
+  THEN 'train' ELSE 'test' END AS part FROM ff UNION ALL SELECT label, 'second' FROM os)
+SELECT part, label::DOUBLE AS label, count(*) AS n FROM sp GROUP BY part, label""")
+def forest_job_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of both parts and of the second table are scored, once."""
+    df = _orders(spark, folder)
+    return _scored_rows(jobs.forest_job(df, _balanced(df), ORDER_FEATURES, "label", _KEY).counts)
+
+
+@query(f"""WITH {FF}, ranked AS (SELECT label, count(*) OVER () AS n,
+  row_number() OVER (ORDER BY md5('2:' || o_orderkey)) AS rank FROM ff)
+SELECT part, label::DOUBLE AS label, count(*) AS n FROM (
+  SELECT label, CASE WHEN rank <= n - ceil(n * 0.3::DOUBLE) THEN 'train'
+    WHEN rank <= n - ceil(ceil(n * 0.3::DOUBLE) * 0.5::DOUBLE) THEN 'test' ELSE 'validation' END AS part FROM ranked)
+GROUP BY part, label""")
+def boosted_job_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of the three written parts are scored, once."""
+    path = scratch_path(spark, "splits")
+    return _scored_rows(jobs.boosted_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, path).counts)
+
+
+@query(f"""WITH {FF}, {split_at('ff', 'sp', 'o_orderkey', 'round_even(n * 0.75::DOUBLE, 0)', 1)}
+SELECT part, label::DOUBLE AS label, count(*) AS n FROM sp GROUP BY part, label""")
+def perceptron_job_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of the sample and of its complement are scored, once."""
+    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, iterations=2)
+    return _scored_rows(job.counts)
+
+
+# -- models: no SQL can train them, their rows are checked by tests ---------------------------
 
 
 def _scored(df: DataFrame, *keys: str) -> DataFrame:
@@ -173,3 +238,17 @@ def perceptron_job(spark: SparkSession, folder: str) -> DataFrame:
 def perceptron_minmax_job(spark: SparkSession, folder: str) -> DataFrame:
     job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, iterations=10)
     return job.metrics
+
+
+@query()
+def perceptron_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Training loss per iteration."""
+    df = frames.embedding_frame(spark, folder)
+    return models.training_curve(models.fit_perceptron(df, "embedding", inputs=64, hidden=[16], iterations=10), spark)
+
+
+@query()
+def boosting_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss on the table per boosting round."""
+    df = _half_day(spark, folder, 3)
+    return models.boosting_curve(models.fit_boosted(df, ["clock"]), df, ["clock"])

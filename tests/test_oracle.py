@@ -11,9 +11,22 @@ def duck(folder):
     return connect(folder)
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, folder, duck, name):
-    rows = spark_rows(QUERIES[name](spark, folder))
+    df = QUERIES[name](spark, folder)
+    rows = spark_rows(df)
     assert rows[1]
     if name in ORACLES:
         assert differences(rows, sql_rows(duck, ORACLES[name])) == []
+        described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+        assert {c: TYPES.get(t, t) for c, t, *_ in described} == dict(df.dtypes)
+
+
+def test_only_learners_go_without_sql():
+    assert sorted(set(QUERIES) - set(ORACLES)) == [
+        "boosted_job", "boosted_score", "boosting_curve", "forest_job", "forest_score", "large_forest_job",
+        "perceptron_curve", "perceptron_job", "perceptron_minmax_job", "perceptron_score", "score_second_table",
+    ]
