@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from millrace.functions.expressions import number
 from millrace.operators.prepare import column_ranges
@@ -31,6 +32,10 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+
+
 def _per_column(df: DataFrame, facts: dict[str, list[Column]], common: list[Column]) -> DataFrame:
     """One aggregate over the table, turned into one row per column of the table."""
     names = df.columns
@@ -71,13 +76,14 @@ def bin_edges(low: float, high: float, bins: int) -> list[float]:
     return [i * step + low for i in range(bins)] + [high]
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """Rows per equal-width bin between the extremes of each column; empty bins included.
+def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
+    """Rows per equal-width bin between the extremes of each (numeric) column; empty bins included.
 
     Bins are half open, the last one is closed. A constant column falls into its middle bin.
     Two passes: extremes, then counts. In the second each row yields one small record per column,
     combined in the map task, so at most ``columns x bins`` records per task are shuffled.
     """
+    columns = numeric_columns(df) if columns is None else list(columns)
     edges = {}
     for c, (low, high) in column_ranges(df, columns).items():
         if low is None:
@@ -117,15 +123,15 @@ def _bin(column: str, edges: list[float] | None, bins: int) -> Column:
     return place.otherwise(bins - 1)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r of every ordered pair, over the rows where both are present.
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Pearson r of every ordered pair of (numeric) columns, over the rows where both are present.
 
     NULL where a side is constant. Two passes: means and counts, then sums of products around the
     means, so that large offsets do not cancel. Few columns without gaps take one built-in sum per
     pair. Otherwise that outgrows generated code, and each task adds up pair moments per Arrow
     batch with matrix products and emits one row per pair.
     """
-    columns = list(columns)
+    columns = numeric_columns(df) if columns is None else list(columns)
     clean = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
     width = range(len(columns))
     few = len(columns) <= PAIR_COLUMNS

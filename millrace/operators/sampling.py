@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import ABOVE_ALL, DIGITS, cut_at, row_hash
-from millrace.session import freeze
+from millrace.session import store_with_row_id
 
 STEP = 3  # hex digits per counting pass: 16**3 groups
 ROW_ID = "_row_id"
@@ -151,7 +151,7 @@ def split_ranks(
     hashed = row_hash(keys, seed)
     _, cuts = find_cuts(df, hashed, ranks)
     if None in cuts:
-        stored = freeze(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+        stored = store_with_row_id(df, ROW_ID)
         return split_ranks(stored, [*keys, ROW_ID], ranks, seed, names, part).drop(ROW_ID)
     return _with_part(df, hashed, cuts, names, part)
 
@@ -279,7 +279,7 @@ def oversample(
             break
         slack *= 4.0
     if cuts[0] is None:  # equal keys across the cut
-        stored = freeze(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+        stored = store_with_row_id(df, ROW_ID)
         return oversample(stored, label, [*keys, ROW_ID], seed, within, copy).drop(ROW_ID)
     return drawn.filter((F.col(copy) == 0) | (order < cuts[0]))
 

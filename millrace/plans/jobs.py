@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evaluate, logistic, models, prepare, profile, sampling
 from millrace.session import widen
-from millrace.sources.writers import write_splits
+from millrace.sources.writers import write_coefficients, write_history, write_splits
 
 
 # -- tables -------------------------------------------------------------------------------
@@ -44,9 +44,6 @@ def test_table(
     return table, profile.null_flags(table)
 
 
-test_table.__test__ = False  # not a test for pytest to collect
-
-
 def profile_tables(df: DataFrame, label: str, columns: Sequence[str], keys: Sequence[str]) -> dict[str, DataFrame]:
     """Everything a first look at a table shows, each as a small table."""
     return {
@@ -67,8 +64,9 @@ def logistic_job(
     df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
     share: float = 0.8, order: str = "split_first", seed: int = 0,
     lam: float = 0.0, eps: float = 0.1, max_iter: int = 100, alpha: float = 1e-7,
+    coefficients_path: str | None = None, history_path: str | None = None,
 ) -> logistic.Fit:
-    """Balance, shuffle, split and train.
+    """Balance, shuffle, split and train; write weights and history where paths are given.
 
     ``split_first`` balances the train part only. ``balance_first`` balances the whole table
     before the split, so copies of one row may land in both parts.
@@ -83,7 +81,12 @@ def logistic_job(
         rows = sampling.split_exact(balanced, [*keys, "copy"], size, seed)
     else:
         raise ValueError("order must be 'split_first' or 'balance_first'")
-    return logistic.train(widen(rows), features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
+    fit = logistic.train(widen(rows), features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
+    if coefficients_path is not None:
+        write_coefficients(fit.coefficients_frame(df.sparkSession), coefficients_path)
+    if history_path is not None:
+        write_history(fit.history_frame(df.sparkSession), history_path)
+    return fit
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import row_hash
 from millrace.operators import prepare, sampling
-from millrace.plans.registry import FE, FLOOR_80, oversampled, query, split_at
+from millrace.plans.registry import FE, FL, FLOOR_80, oversampled, query, split_at
+from millrace.session import store_with_row_id
 from millrace.sources import frames
 
 _KEY = ["o_orderkey"]
@@ -52,6 +53,22 @@ def split_hash_seeded(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.split_hash(frames.event_frame(spark, folder), ["event_id"], 0.75, seed=1)
 
 
+@query(f"""WITH {FL} SELECT floor(count(*) * 0.8::DOUBLE)::BIGINT AS n_train,
+count(*) - floor(count(*) * 0.8::DOUBLE)::BIGINT AS n_test, sum(l_quantity) AS quantity FROM fl""")
+def split_without_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines repeat and have no key: part sizes are exact and no quantity is lost."""
+    parts = sampling.split_exact(store_with_row_id(frames.line_frame(spark, folder)), ["row_id"])
+    sizes = [F.count_if(F.col("part") == p).alias(f"n_{p}") for p in ("train", "test")]
+    return parts.agg(*sizes, F.sum("l_quantity").alias("quantity"))
+
+
+@query(f"""WITH {FL}, n AS (SELECT label, count(*) AS n FROM fl GROUP BY label)
+SELECT label, (SELECT max(n) FROM n) AS n_rows, n AS n_originals FROM n""")
+def oversample_without_key(spark: SparkSession, folder: str) -> DataFrame:
+    df = sampling.oversample(store_with_row_id(frames.line_frame(spark, folder)), "label", ["row_id"])
+    return df.groupBy("label").agg(F.count("*").alias("n_rows"), F.count_if(F.col("copy") == 0).alias("n_originals"))
+
+
 @query("SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders")
 def split_random(spark: SparkSession, folder: str) -> DataFrame:
     """Both parts of Spark's own split together are the table."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import binary_label
-from millrace.operators import evaluate, logistic, prepare, sampling
+from millrace.operators import evaluate, logistic, prepare
 from millrace.plans import jobs
 from millrace.plans.registry import (
     FF,
@@ -23,7 +23,7 @@ from millrace.plans.registry import (
     zscored,
 )
 from millrace.session import freeze, scratch_path
-from millrace.sources import frames, readers, writers
+from millrace.sources import frames, readers
 from millrace.sources.frames import LINE_FEATURES
 
 # A fixed weight vector for the line frame: it predicts both classes.
@@ -149,10 +149,10 @@ def _step(spark: SparkSession, folder: str) -> float:
     return 1.0 / frames.table(spark, folder, "orders").count()
 
 
-def _fit(spark: SparkSession, folder: str) -> logistic.Fit:
+def _fit(spark: SparkSession, folder: str, **paths: str) -> logistic.Fit:
     return jobs.logistic_job(
         _training_frame(spark, folder), ORDER_FEATURES, "label", ["o_orderkey"],
-        lam=LAM, max_iter=UPDATES + 1, alpha=_step(spark, folder),
+        lam=LAM, max_iter=UPDATES + 1, alpha=_step(spark, folder), **paths,
     )
 
 
@@ -184,7 +184,7 @@ def logistic_history(spark: SparkSession, folder: str) -> DataFrame:
 def history_file(spark: SparkSession, folder: str) -> DataFrame:
     """The same, written and read back."""
     path = scratch_path(spark, "history")
-    writers.write_history(_fit(spark, folder).history_frame(spark), path)
+    _fit(spark, folder, history_path=path)
     return _rounded_history(readers.read_parquet(spark, path))
 
 
@@ -215,7 +215,7 @@ def logistic_convergence(spark: SparkSession, folder: str) -> DataFrame:
 def coefficients_file(spark: SparkSession, folder: str) -> DataFrame:
     """Weights written as text lines and read back."""
     path = scratch_path(spark, "coefficients")
-    writers.write_coefficients(_fit(spark, folder).coefficients_frame(spark), path)
+    _fit(spark, folder, coefficients_path=path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "millrace", cores: int | str = 8, memory: str = "12g") -> SparkSession:
@@ -62,6 +63,15 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def store_with_row_id(df: DataFrame, column: str = "row_id") -> DataFrame:
+    """Store a table that has no unique key together with a row id to use as one.
+
+    One pass, no shuffle. The ids are as stable as the written table; survey rows, of which many
+    are equal, can then be split and drawn by them.
+    """
+    return freeze(df.withColumn(column, F.monotonically_increasing_id()))
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Persist for repeated passes: blocks that do not fit in memory go to executor disks."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evaluate, prepare
 from millrace.plans import jobs
-from millrace.session import scratch_path
-from millrace.sources import readers
+from millrace.session import scratch_path, store_with_row_id
+from millrace.sources import readers, writers
 
 FEATURES = list(readers.SURVEY_FEATURES)
 SCALED = list(readers.SURVEY_SCALED)
@@ -27,6 +27,30 @@ def survey(spark):
     return _survey(spark, 1500, LABEL, 2, 50).cache()
 
 
+def test_from_survey_files_without_a_key(spark, tmp_path):
+    """CSV files in, models out; many rows are equal and none has a key."""
+    three = _survey(spark, 600, readers.SURVEY_LABEL_3, 3, 1).drop("id")
+    binary = _survey(spark, 400, LABEL, 2, 90).drop("id")
+    files = {name: str(tmp_path / name) for name in ("three", "binary", "train", "beta", "history")}
+    writers.write_csv(three.union(three), files["three"])
+    writers.write_csv(binary, files["binary"])
+    merged, scaler = jobs.train_table(
+        readers.read_csv(spark, files["three"]), readers.read_csv(spark, files["binary"]), SCALED
+    )
+    writers.write_csv(merged, files["train"])
+    stored = store_with_row_id(readers.read_csv(spark, files["train"], merged.columns))
+    fit = jobs.logistic_job(
+        stored, FEATURES, LABEL, ["row_id"], max_iter=6, alpha=1e-3,
+        coefficients_path=files["beta"], history_path=files["history"],
+    )
+    lines = [r.value for r in spark.read.text(files["beta"]).collect()]
+    assert [line.split(",")[0] for line in lines] == ["(intercept", *[f"({f}" for f in FEATURES]]
+    assert readers.read_parquet(spark, files["history"]).count() == len(fit.history) == 5
+    second = scaler.transform(_survey(spark, 200, LABEL, 2, 9).withColumnRenamed("id", "row_id"))
+    rows = _metrics(jobs.forest_job(stored, second, FEATURES, LABEL, ["row_id"], trees=5))
+    assert sum(r.n_rows for r in rows.values()) == 1800 and rows["test"].accuracy > 0.8
+
+
 def test_train_table(spark):
     three, binary = _survey(spark, 300, readers.SURVEY_LABEL_3, 3, 1), _survey(spark, 200, LABEL, 2, 90)
     table, scaler = jobs.train_table(three, binary, SCALED)
