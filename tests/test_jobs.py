@@ -47,7 +47,7 @@ def test_from_survey_files_without_a_key(spark, tmp_path):
     assert [line.split(",")[0] for line in lines] == ["(intercept", *[f"({f}" for f in FEATURES]]
     assert readers.read_parquet(spark, files["history"]).count() == len(fit.history) == 5
     second = scaler.transform(_survey(spark, 200, LABEL, 2, 9).withColumnRenamed("id", "row_id"))
-    rows = _metrics(jobs.forest_job(stored, second, FEATURES, LABEL, ["row_id"], trees=5))
+    rows = _metrics(jobs.forest_job(stored, second, FEATURES, LABEL, ["row_id"]))
     assert sum(r.n_rows for r in rows.values()) == 1800 and rows["test"].accuracy > 0.8
 
 
