@@ -91,12 +91,11 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 1
         if not (math.isfinite(low) and math.isfinite(high)):
             raise ValueError(f"column {c} holds an infinite value")
         edges[c] = bin_edges(low, high, bins)
-    # One integer per column and row: the bin, offset by the columns before it.
-    slots = [_bin(f"c{i}", edges.get(c), bins) + i * bins for i, c in enumerate(columns)]
+    values = F.array(*[number(c) for c in columns])
     counts = (
-        df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
-        .select(F.explode(F.array(*slots)).alias("slot"))
-        .filter(F.col("slot").isNotNull())
+        df.select(F.posexplode(values).alias("place", "x"))
+        .filter(F.col("x").isNotNull())
+        .select((F.col("place") * bins + _bin(columns, edges, bins)).alias("slot"))
         .groupBy("slot")
         .agg(F.count("*").alias("n"))
     )
@@ -110,17 +109,22 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 1
     )
 
 
-def _bin(column: str, edges: list[float] | None, bins: int) -> Column:
-    """Bin number from 0 of a double column; NULL for a missing value."""
-    x = F.col(column)
-    if edges is None:
-        return F.lit(None).cast("int")
-    if edges[0] == edges[-1]:
-        return F.when(x.isNotNull(), bins // 2)
-    place = F.when(x.isNull(), None)
-    for i, edge in enumerate(edges[1:-1]):
-        place = place.when(x < edge, i)
-    return place.otherwise(bins - 1)
+def _bin(columns: Sequence[str], edges: dict[str, list[float]], bins: int) -> Column:
+    """Bin number from 0 of the value ``x`` of the column at ``place``.
+
+    The same short code serves all columns: limits are looked up by place. The bin is guessed by
+    division and corrected by comparing with the edges next to it, ``i * step + low``.
+    """
+    ends = [(edges[c][0], edges[c][-1]) if c in edges else (0.0, 0.0) for c in columns]
+    lows, highs, steps = (
+        F.array(*[F.lit(v) for v in row])[F.col("place")]
+        for row in ([e[0] for e in ends], [e[1] for e in ends], [(e[1] - e[0]) / bins for e in ends])
+    )
+    x = F.col("x")
+    guess = F.least(F.floor((x - lows) / F.nullif(highs - lows, F.lit(0.0)) * bins).cast("int"), F.lit(bins - 1))
+    below = x < guess * steps + lows
+    above = (guess < bins - 1) & (x >= (guess + 1) * steps + lows)
+    return F.when(highs > lows, guess - below.cast("int") + above.cast("int")).otherwise(bins // 2)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
