@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import token_counts
+from millrace.llm import quality, simhash, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -27,3 +28,19 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query()
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, "doc_id", shingle=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    forest = quality.fit(docs, table(spark, folder, "labels"))
+    judged = quality.judge(docs, forest)
+    counts = [F.col(f"quality.{c}").alias(c) for c in quality.COUNTS]
+    return judged.select("doc_id", *counts, "quality.base_failed", "quality.kept", "quality.score")
