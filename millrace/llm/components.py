@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import freeze
+from millrace.llm.text import stored
 
 
 def _hung(links: DataFrame, on: str, other: str) -> DataFrame:
@@ -39,12 +39,12 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Every round is stored in the shared folder, which cuts the lineage.
     """
     stars = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-    stars = freeze(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    stars = stored(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         seen = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == before or not seen[0]:
             break
-        before, stars = seen, freeze(_small_star(_large_star(stars)))
+        before, stars = seen, stored(_small_star(_large_star(stars)))
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

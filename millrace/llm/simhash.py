@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.text import filled, utf8, word_blocks
-from millrace.session import freeze
+from millrace.llm.text import filled, stored, utf8, word_blocks
 
 SEED = 42
 NODE_ROWS = 4096  # an upper node with more fingerprints is divided
@@ -104,9 +103,9 @@ def upper_nodes(distinct: DataFrame, max_bits: int, node_rows: int = NODE_ROWS)
         for mask, own in level.items():
             part = _below(own, masks[mask])
             rows = part if rows is None else rows.union(part)
-        rows = freeze(rows)
+        rows = stored(rows)
         counted = rows.groupBy("mask", "bits").count().filter(F.col("count") > node_rows)
-        crowded = freeze(counted.select("mask", "bits"))
+        crowded = stored(counted.select("mask", "bits"))
         full = [r.mask & (1 << 64) - 1 for r in crowded.select("mask").distinct().collect()]  # few masks per level
         full = [m for m in full if 64 - m.bit_count() > max_bits + 1]
         if not full:
@@ -114,7 +113,7 @@ def upper_nodes(distinct: DataFrame, max_bits: int, node_rows: int = NODE_ROWS)
             break
         dividing = crowded.filter(F.col("mask").isin([_signed(m) for m in full]))
         done.append(rows.join(dividing, ["mask", "bits"], "left_anti"))
-        left = freeze(rows.join(dividing, ["mask", "bits"], "left_semi"))
+        left = stored(rows.join(dividing, ["mask", "bits"], "left_semi"))
         level = {m: left.filter(F.col("mask") == _signed(m)) for m in full}
     nodes = done[0]
     for more in done[1:]:
@@ -241,8 +240,8 @@ def near_duplicates(
     hold a component together; their id is NULL only if all keys of the component are. Texts without
     words have fingerprint zero and are linked like any other. Other columns are dropped.
     """
-    prints = freeze(docs.select(F.col(key).alias("key"), fingerprints(F.col(text), shingle).alias("fingerprint")))
-    distinct = freeze(prints.groupBy("fingerprint").agg(F.min("key").alias("least")))
+    prints = stored(docs.select(F.col(key).alias("key"), fingerprints(F.col(text), shingle).alias("fingerprint")))
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min("key").alias("least")))
     roots = components(link_fingerprints(distinct.select("fingerprint"), max_bits, node_rows), "a", "b")
     rooted = distinct.join(roots, distinct.fingerprint == roots.node, "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")

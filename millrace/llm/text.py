@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import freeze
+
 # A word is a run of bytes other than these; bytes.split() without arguments cuts at just these.
 SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,3 +64,17 @@ def word_blocks(data: bytes, block: int = BLOCK) -> Iterator[list[bytes]]:
 def read_file(path: str) -> bytes:
     """A vocabulary file, read on the driver and sent to the tasks with the job."""
     return Path(path).read_bytes()
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``freeze``, and drop the shuffle files of the job at its end: the table replaces them."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return freeze(df)
+    finally:
+        conf.set(_CLEANUP, before)
