@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import lines, quality, simhash, substrings, token_counts
+from millrace.llm import decontaminate, lines, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -23,6 +23,13 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    return decontaminate.contaminated(docs, items, "doc_id", "item_id")
+
+
 @query()
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
