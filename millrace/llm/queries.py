@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, quality, simhash, substrings, token_counts
+from millrace.llm import decontaminate, lines, pieces, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -30,6 +30,14 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(docs, items, "doc_id", "item_id")
 
 
+@query()
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), "doc_id", seed=7)
+    digest = F.sha2(F.array_join("pieces", " "), 256).alias("pieces_sha256")
+    return found.select("doc_id", "n_pieces", digest, "lossless")
+
+
 @query()
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
