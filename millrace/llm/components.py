@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import stored
+from millrace.llm.text import discard, stored
 
 
 def _hung(links: DataFrame, on: str, other: str) -> DataFrame:
@@ -45,6 +45,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         seen = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == before or not seen[0]:
             break
-        before, stars = seen, stored(_small_star(_large_star(stars)))
+        before, last = seen, stars
+        stars = stored(_small_star(_large_star(last)))
+        discard(last)
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

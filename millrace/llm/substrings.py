@@ -6,7 +6,7 @@ which a common run of ``window`` words starts, some shift below PERIOD takes bot
 run shares an anchor that is hashed on both sides. 3/7 of the positions are hashed this way.
 
 Anchors that only one document holds are dropped; around the others the windows are extended and
-compared as a whole, by 128-bit hashes of all their words. A hot anchor or window is a skewed join
+compared as a whole, by 96-bit hashes of all their words. A hot anchor or window is a skewed join
 key, which Spark splits; its documents are reduced to the smallest in the map tasks and never meet.
 """
 
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import filled, stored, utf8, word_blocks
+from millrace.llm.text import discard, filled, stored, utf8, word_blocks
 
 # A perfect difference set modulo 7.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -89,7 +89,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _windows(window: int, anchor: int):
-    @F.arrow_udf("struct<start: array<int>, high: array<bigint>, low: array<bigint>>")
+    @F.arrow_udf("struct<start: array<int>, high: array<bigint>, low: array<int>>")
     def around(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         known = _Hashes()
         for texts, anchors in batches:
@@ -101,7 +101,7 @@ def _windows(window: int, anchor: int):
                 at = at[(at >= 0) & (at <= len(words) - window)]
                 starts.append(at.astype(np.int32))
                 high.append(run_hashes(words, at, window, MULTIPLIERS[1]).view(np.int64))
-                low.append(run_hashes(words, at, window, MULTIPLIERS[2]).view(np.int64))
+                low.append((run_hashes(words, at, window, MULTIPLIERS[2]) >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.StructArray.from_arrays([_lists(starts), _lists(high), _lists(low)], names=["start", "high", "low"])
 
     return around
@@ -153,19 +153,24 @@ def repeated_windows(docs: DataFrame, key: str, text: str = "text", window: int
         raise ValueError(f"windows of at least {PERIOD} words are needed")
     named = docs.select(F.col(key).alias("key"), filled(text).alias("text")).filter(F.col("key").isNotNull())
     named = named.withColumn("text_hash", F.xxhash64("text"))
-    hashed = stored(named.select("key", "text_hash", _anchors(anchor)("text").alias("anchors")))
+    rows = F.monotonically_increasing_id().alias("row")  # fixed by storing
+    hashed = stored(named.select(rows, "key", "text_hash", _anchors(anchor)("text").alias("anchors")))
     ends = hashed.select("key", F.explode("anchors").alias("anchor")).groupBy("anchor")
-    shared = ends.agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b").select("anchor")
-    placed = hashed.select("key", "text_hash", F.posexplode("anchors").alias("index", "anchor"))
-    found = placed.join(stored(shared), "anchor").groupBy("key", "text_hash")
-    near = stored(found.agg(F.collect_set(anchor_start(F.col("index"))).alias("near")))
+    shared = stored(ends.agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b").select("anchor"))
+    placed = hashed.select("row", F.posexplode("anchors").alias("index", "anchor"))
+    found = placed.join(shared, "anchor").groupBy("row").agg(F.collect_set(anchor_start(F.col("index"))).alias("near"))
+    found = stored(found)
+    near = stored(hashed.select("row", "key", "text_hash").join(found, "row").drop("row"))
+    discard(hashed, shared, found)
     windows = named.join(near, ["key", "text_hash"]).withColumn("w", _windows(window, anchor)("text", "near"))
-    windows = windows.select("key", "text_hash", F.inline(F.arrays_zip("w.start", "w.high", "w.low")))
-    windows = stored(windows)
+    windows = stored(windows.select("key", "text_hash", F.inline(F.arrays_zip("w.start", "w.high", "w.low"))))
+    discard(near)
     first = windows.groupBy("high", "low").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    first = first.filter("first < last").select("high", "low", "first")
+    first = stored(first.filter("first < last").select("high", "low", "first"))
     later = windows.join(first, ["high", "low"]).filter("key > first")
-    return later.groupBy("key", "text_hash").agg(F.collect_set("start").alias("starts"))
+    starts = stored(later.groupBy("key", "text_hash").agg(F.collect_set("start").alias("starts")))
+    discard(windows, first)
+    return starts
 
 
 def remove_repeats(docs: DataFrame, key: str, text: str = "text", window: int = 13) -> DataFrame:
@@ -175,7 +180,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str = "text", window: int =
     that repeat a key never remove each other's words. A row with a NULL key keeps all its words and
     removes none elsewhere; NULL and empty texts have no words. Other columns are dropped.
     """
-    starts = stored(repeated_windows(docs, key, text, window))
+    starts = repeated_windows(docs, key, text, window)
     rows = docs.select(F.col(key).alias("key"), filled(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     joined = rows.join(starts, ["key", "text_hash"], "left")
     found = joined.withColumn("rest", _kept(window)("text", "starts"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import freeze
+from millrace.session import scratch_path
 
 # A word is a run of bytes other than these; bytes.split() without arguments cuts at just these.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -70,11 +70,24 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``freeze``, and drop the shuffle files of the job at its end: the table replaces them."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP)
-    conf.set(_CLEANUP, "true")
+    """``df`` written to the shared folder and read back; the shuffle files of the job are dropped at
+    its end, since the table replaces them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "text")
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
     try:
-        return freeze(df)
+        df.write.parquet(path)
     finally:
-        conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
