@@ -86,24 +86,49 @@ def rare_seeds(items: Items, documents: np.ndarray) -> np.ndarray:
     return chosen
 
 
+class Numbers(dict):
+    """The items' number of each word: 0 if no item holds it, minus the place in ``several`` if it has
+    several parts."""
+
+    MARKS = b".,;:!?()[]{}<>|*#$%&\"_+=/~"
+
+    def __init__(self, numbers: dict[str, int]):
+        super().__init__()
+        self.numbers, self.several = numbers, [[]]
+        self.encoded = {p.encode(): n for p, n in numbers.items()}
+
+    def __missing__(self, word: bytes) -> int:
+        core = word.lower().strip(self.MARKS)
+        if core.isalnum():  # ASCII letters and digits only: one part
+            found = self.encoded.get(core, 0)
+        else:
+            own = [self.numbers.get(p, 0) for p in plain(word)]
+            if len(own) == 1:
+                found = own[0]
+            else:
+                self.several.append(own)
+                return 1 - len(self.several)
+        if len(self) >= KEPT:
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Reader:
     """Turns texts into the items' word numbers; words that no item holds are 0."""
 
     def __init__(self, items: Items):
-        self.items, self.known = items, {}
+        self.items, self.known = items, Numbers(items.numbers)
 
     def numbers(self, data: bytes) -> np.ndarray:
         parts = []
         for words in word_blocks(data):
-            found = []
-            for word in words:
-                own = self.known.get(word)
-                if own is None:
-                    own = [self.items.numbers.get(p, 0) for p in plain(word)]
-                    if len(self.known) < KEPT:
-                        self.known[word] = own
-                found += own
-            parts.append(np.asarray(found, np.int64))
+            found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            if len(self.known.several) > 1:
+                several = self.known.several
+                found = np.asarray([n for f in found.tolist() for n in ([f] if f >= 0 else several[-f])], np.int64)
+                del several[1:]
+            parts.append(found)
         return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
