@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, pieces, quality, simhash, substrings, token_counts
+from millrace.llm import decontaminate, lines, pages, pieces, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -66,6 +66,11 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query()
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
