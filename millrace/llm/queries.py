@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, pages, pieces, quality, simhash, substrings, token_counts
+from millrace.llm import decontaminate, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -45,6 +45,14 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query()
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    fitted = language_model.fit(docs.filter(~language_model.held_out(F.col("doc_id"))))
+    scored = language_model.score(docs, fitted, "doc_id")
+    return scored.withColumn("held_out", language_model.held_out(F.col("doc_id")))
+
+
 @query()
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
