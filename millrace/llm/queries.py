@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
+from millrace.llm import chat, decontaminate, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -67,6 +67,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repaired(table(spark, folder, "conversations"), "conv_id")
+
+
 @query()
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
