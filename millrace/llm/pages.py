@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import filled, stored, strings
+from millrace.llm.text import filled, stored, strings, unused
 
 PRESENTATION = 0.3  # weight of presentation against content
 LEAST = 0.3  # nodes below this importance go
@@ -71,10 +71,10 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "other", "article", "children", "blocks")
+    __slots__ = ("tag", "path", "other", "low", "article", "children", "blocks")
 
-    def __init__(self, tag: str, path: int, other: bool, article: bool):
-        self.tag, self.path, self.other, self.article = tag, path, other, article
+    def __init__(self, tag: str, path: int, other: bool = False, low: bool = False, article: bool = False):
+        self.tag, self.path, self.other, self.low, self.article = tag, path, other, low, article
         self.children: list[str] = []
         self.blocks: list[int] = []
 
@@ -103,7 +103,7 @@ class Page:
 
     def __init__(self, html: str, low: frozenset[int] = frozenset(), collect: bool = False):
         self.low, self.collect = low, collect
-        self.stack = [Element("", 0, False, False)]
+        self.stack = [Element("", 0)]
         self.body: list[str] = []
         self.article: list[str] = []
         self.run: list[str] = []  # text of the open block
@@ -139,7 +139,8 @@ class Page:
             self._pop()
 
     def _text(self, text: str) -> None:
-        if not self.stack[-1].other or self.collect:
+        top = self.stack[-1]
+        if self.collect or not (top.other or top.low):
             self.run.append(unescape(text) if "&" in text else text)
 
     def _flush(self) -> None:
@@ -152,7 +153,7 @@ class Page:
         top = self.stack[-1]
         if self.collect:
             top.blocks.append(_hash(text))
-        if not top.other:
+        if not (top.other or top.low):
             (self.article if top.article else self.body).append(text)
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -168,9 +169,10 @@ class Page:
             return
         other, classes = _declared(tag, attributes, top.article)
         path = _hash(f"{top.path} {tag} {classes}")
-        low = path in self.low and not (top.article and tag in INLINE_ROOTS)
-        article = top.article or (tag in ("article", "main") and not other)
-        self.stack.append(Element(tag, path, top.other or other or low, article))
+        article = tag in ("article", "main") and not other
+        # an article is text even where all pages of a host hold the same one, and so are its paragraphs
+        low = not article and (top.low or path in self.low and not (top.article and tag in INLINE_ROOTS))
+        self.stack.append(Element(tag, path, top.other or other, low, top.article or article))
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
@@ -273,7 +275,9 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     # a host has at most (nodes of a page) / SHARE such paths
     low = tree.filter((F.col("pages") >= SHARE * F.col("of")) & (F.col("importance") < LEAST))
     low = stored(low.groupBy("host").agg(F.collect_set("path").alias("_low")).withColumnRenamed("host", "_host"))
-    joined = pages.join(low, host_of(F.col(url)) == F.col("_host"), "left")
+    host, paths, found = unused(pages, "host", "paths", "found")
+    low = low.select(F.col("_host").alias(host), F.col("_low").alias(paths))
+    joined = pages.join(low, host_of(F.col(url)) == F.col(host), "left")
     texts = F.arrow_udf(_extracted, "string")
-    found = joined.withColumn("_text", texts(filled(html), "_low")).drop("_host", "_low")
-    return found.withColumns({"text": F.col("_text"), "n_chars": F.char_length("_text").cast("long")}).drop("_text")
+    joined = joined.withColumn(found, texts(filled(html), paths)).drop(host, paths)
+    return joined.withColumns({"text": F.col(found), "n_chars": F.char_length(found).cast("long")}).drop(found)

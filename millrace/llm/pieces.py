@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import BLOCK, filled, read_file, strings
+from millrace.llm.text import BLOCK, filled, read_file, strings, unused
 
 SPACE = "▁"
 KEPT = 1 << 18  # word lattices kept by a task before they are dropped
@@ -337,9 +337,9 @@ def pieces_of(
 
 def encode(docs: DataFrame, path: str, key: str, text: str = "text", seed: int = 0, alpha: float = 1.0) -> DataFrame:
     """``docs`` with ``pieces``, ``n_pieces`` and ``lossless``; columns of these names are replaced."""
-    found = docs.withColumn("_drawn", pieces_of(docs.sparkSession, path, F.col(key), F.col(text), seed, alpha))
-    names = ("pieces", "n_pieces", "lossless")
-    return found.withColumns({n: F.col("_drawn")[n] for n in names}).drop("_drawn")
+    (drawn,) = unused(docs, "drawn")
+    found = docs.withColumn(drawn, pieces_of(docs.sparkSession, path, F.col(key), F.col(text), seed, alpha))
+    return found.withColumns({n: F.col(drawn)[n] for n in ("pieces", "n_pieces", "lossless")}).drop(drawn)
 
 
 def decoded(spark, path: str, pieces: str | Column) -> Column:

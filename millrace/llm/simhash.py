@@ -115,10 +115,10 @@ def upper_nodes(distinct: DataFrame, max_bits: int, node_rows: int = NODE_ROWS)
         done.append(rows.join(dividing, ["mask", "bits"], "left_anti"))
         left = stored(rows.join(dividing, ["mask", "bits"], "left_semi"))
         level = {m: left.filter(F.col("mask") == _signed(m)) for m in full}
-    nodes = done[0]
+    nodes = done[0].select("fingerprint", "mask", "bits")
     for more in done[1:]:
         nodes = nodes.union(more.select("fingerprint", "mask", "bits"))
-    return nodes.select("fingerprint", "mask", "bits")
+    return nodes
 
 
 # -- lower nodes and search ---------------------------------------------------------------

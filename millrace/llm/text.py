@@ -22,6 +22,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it from being a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def filled(column: str | Column) -> Column:
     """A text column in which NULL is the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
