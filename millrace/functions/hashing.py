@@ -16,9 +16,15 @@ ABOVE_ALL = "g"  # sorts after every hex digit
 
 
 def row_hash(keys: Sequence[str | Column], seed: int | str = 0) -> Column:
-    """md5 of ``seed:key1:key2...``."""
-    parts = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    """md5 of ``seed:key1:key2...``.
+
+    NULL has a text of its own, and in keys of several parts a colon or backslash within a part is
+    escaped, so different keys never have the same text.
+    """
+    parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    if len(parts) > 1:
+        parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for p in parts]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p, F.lit("\\N")) for p in parts]))
 
 
 def cut_at(share: float, digits: int = 13) -> str:

@@ -332,17 +332,16 @@ def train(
     history: list[tuple] = []
     kept = replace(rows, df=keep(rows.df)) if cache else rows
     try:
-        norm, k, state = 2.0 * eps, 1, None
-        while k < max_iter and norm > eps:
-            if state is None:
-                state = _checked(run_pass(kept, weights))
-            gradient = state.gradient + 2.0 * lam * weights
-            weights = weights - alpha * gradient
-            norm = math.sqrt(float(gradient @ gradient))
+        state = _checked(run_pass(kept, weights)) if eps > 0 and max_iter > 1 else None
+        for update in range(1, max_iter if state else 1):
+            slope = state.gradient + 2.0 * lam * weights
+            weights = weights - alpha * slope
+            length = math.sqrt(float(slope @ slope))
             state = run_pass(kept, weights)
-            value = state.loss + lam * float(weights @ weights)
-            history.append((k, value, norm, float(alpha), *_rates(state.train), *_rates(state.test)))
-            k += 1
+            penalised = state.loss + lam * float(weights @ weights)
+            history.append((update, penalised, length, float(alpha), *_rates(state.train), *_rates(state.test)))
+            if not length > eps:
+                break
     finally:
         if cache:
             kept.df.unpersist()

@@ -54,9 +54,9 @@ def fit_forest(
 
 def fit_large_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 100,
-    depth: int = 12, seed: int = 1,
+    depth: int = 30, seed: int = 1,
 ) -> Model:
-    """A forest of 100 deep trees; Spark bounds the depth at 30."""
+    """A forest of 100 trees without a depth limit of its own; 30 is the deepest that Spark grows."""
     return fit_forest(
         df, features, label, trees, depth, subset="sqrt", seed=seed, node_memory_mb=1024, keep_node_ids=True
     )

@@ -23,8 +23,10 @@ def head_rows(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per present value, most frequent first."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    """Rows per present value, most frequent first; NULL and NaN are not present."""
+    kind = dict(df.dtypes)[column]
+    present = number(column) if kind in ("double", "float") else F.col(column)
+    counts = df.filter(present.isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(column))
 
 

@@ -21,13 +21,16 @@ _MERGED = f"""{FF}, mg AS (SELECT o_orderkey,
 st AS (SELECT {_STATS} FROM mg)"""
 
 
+_KEY_TYPE = {"o_orderkey": "long"}
+
+
 def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     three = frames.order_frame_3(spark, folder).select("o_orderkey", "label_012", *_SCALED)
     binary = frames.order_frame(spark, folder)
     return three, binary.select("o_orderkey", F.col("label").cast("double"), *_SCALED)
 
 
-@query(f"WITH {_MERGED} SELECT o_orderkey::DOUBLE AS o_orderkey, label, {_OUT} FROM mg, st")
+@query(f"WITH {_MERGED} SELECT o_orderkey, label, {_OUT} FROM mg, st")
 def train_table_job(spark: SparkSession, folder: str) -> DataFrame:
     """Two CSV files in, one scaled CSV table out, read back."""
     three, binary = _tables(spark, folder)
@@ -35,11 +38,12 @@ def train_table_job(spark: SparkSession, folder: str) -> DataFrame:
     writers.write_csv(three, paths[0])
     writers.write_csv(binary, paths[1])
     table, _ = jobs.train_table(
-        readers.read_csv(spark, paths[0], three.columns), readers.read_csv(spark, paths[1], binary.columns),
+        readers.read_csv(spark, paths[0], three.columns, types=_KEY_TYPE),
+        readers.read_csv(spark, paths[1], binary.columns, types=_KEY_TYPE),
         _SCALED, "label_012", "label",
     )
     writers.write_csv(table, paths[2])
-    return rounded(readers.read_csv(spark, paths[2], table.columns), _SCALED)
+    return rounded(readers.read_csv(spark, paths[2], table.columns, types=_KEY_TYPE), _SCALED)
 
 
 @query(f"WITH {_MERGED} SELECT o_orderkey, label, {_OUT} FROM ff, st")
@@ -126,14 +130,16 @@ def _scored_rows(counts: DataFrame) -> DataFrame:
     return counts.groupBy("part", "label").agg(F.sum("n").alias("n"))
 
 
-@query(f"""WITH {FF}, {oversampled('ff', 'os', 'o_orderkey')},
-sp AS (SELECT label, CASE WHEN md5('1:' || o_orderkey) < printf('%013x', floor(0.7::DOUBLE * 4503599627370496)::BIGINT)
-  THEN 'train' ELSE 'test' END AS part FROM ff UNION ALL SELECT label, 'second' FROM os)
+@query(f"""WITH {FF}, cut AS (
+  SELECT *, md5('9:' || o_orderkey) < printf('%013x', floor(0.8::DOUBLE * 4503599627370496)::BIGINT) AS own FROM ff),
+sp AS (SELECT label, CASE WHEN NOT own THEN 'second'
+  WHEN md5('1:' || o_orderkey) < printf('%013x', floor(0.7::DOUBLE * 4503599627370496)::BIGINT)
+  THEN 'train' ELSE 'test' END AS part FROM cut)
 SELECT part, label::DOUBLE AS label, count(*) AS n FROM sp GROUP BY part, label""")
 def forest_job_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of both parts and of the second table are scored, once."""
-    df = _orders(spark, folder)
-    return _scored_rows(jobs.forest_job(df, _balanced(df), ORDER_FEATURES, "label", _KEY).counts)
+    df, second = _two_tables(spark, folder)
+    return _scored_rows(jobs.forest_job(df, second, ORDER_FEATURES, "label", _KEY, partitions=16).counts)
 
 
 @query(f"""WITH {FF}, ranked AS (SELECT label, count(*) OVER () AS n,
@@ -152,7 +158,7 @@ def boosted_job_rows(spark: SparkSession, folder: str) -> DataFrame:
 SELECT part, label::DOUBLE AS label, count(*) AS n FROM sp GROUP BY part, label""")
 def perceptron_job_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of the sample and of its complement are scored, once."""
-    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, iterations=2)
+    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY)
     return _scored_rows(job.counts)
 
 
@@ -168,9 +174,13 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return freeze(frames.order_frame(spark, folder))
 
 
-def _balanced(df: DataFrame) -> DataFrame:
-    """The second table of the forest jobs: the orders with equal class sizes."""
-    return sampling.oversample(df, "label", _KEY).drop("copy")
+def _two_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The orders of the forest jobs, and as their second table a fifth of all orders, set apart by key
+    before anything is fitted; both scaled by the statistics of the first."""
+    parts = sampling.split_hash(_orders(spark, folder), _KEY, 0.8, seed=9)
+    first, second = (parts.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+    scaler = prepare.fit_zscore(first, ORDER_FEATURES)
+    return freeze(scaler.transform(first)), freeze(scaler.transform(second))
 
 
 @query()
@@ -210,15 +220,14 @@ def score_second_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def forest_job(spark: SparkSession, folder: str) -> DataFrame:
-    df = _orders(spark, folder)
-    return jobs.forest_job(df, _balanced(df), ORDER_FEATURES, "label", _KEY).metrics
+    df, second = _two_tables(spark, folder)
+    return jobs.forest_job(df, second, ORDER_FEATURES, "label", _KEY, partitions=16).metrics
 
 
 @query()
 def large_forest_job(spark: SparkSession, folder: str) -> DataFrame:
-    df = _orders(spark, folder)
-    job = jobs.large_forest_job(df, _balanced(df), ORDER_FEATURES, "label", _KEY, trees=30, depth=8)
-    return job.metrics
+    df, second = _two_tables(spark, folder)
+    return jobs.large_forest_job(df, second, ORDER_FEATURES, "label", _KEY, partitions=16).metrics
 
 
 @query()
@@ -236,7 +245,7 @@ def perceptron_job(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def perceptron_minmax_job(spark: SparkSession, folder: str) -> DataFrame:
-    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, iterations=10)
+    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY)
     return job.metrics
 
 
@@ -244,7 +253,7 @@ def perceptron_minmax_job(spark: SparkSession, folder: str) -> DataFrame:
 def perceptron_curve(spark: SparkSession, folder: str) -> DataFrame:
     """Training loss per iteration."""
     df = frames.embedding_frame(spark, folder)
-    return models.training_curve(models.fit_perceptron(df, "embedding", inputs=64, hidden=[16], iterations=10), spark)
+    return models.training_curve(models.fit_perceptron(df, "embedding", inputs=64, iterations=50), spark)
 
 
 @query()

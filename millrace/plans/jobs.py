@@ -14,8 +14,9 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import binary_label
 from millrace.operators import evaluate, logistic, models, prepare, profile, sampling
-from millrace.session import widen
+from millrace.session import dealt
 from millrace.sources.writers import write_coefficients, write_history, write_splits
 
 
@@ -81,7 +82,7 @@ def logistic_job(
         rows = sampling.split_exact(balanced, [*keys, "copy"], size, seed)
     else:
         raise ValueError("order must be 'split_first' or 'balance_first'")
-    fit = logistic.train(widen(rows), features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
+    fit = logistic.train(rows, features, label, F.col("part") == "train", lam, eps, max_iter, alpha)
     if coefficients_path is not None:
         write_coefficients(fit.coefficients_frame(df.sparkSession), coefficients_path)
     if history_path is not None:
@@ -105,11 +106,15 @@ def _trained(model: Model, scored: DataFrame, counts: DataFrame) -> Trained:
 
 def forest_job(
     df: DataFrame, second: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-    share: float = 0.7, trees: int = 20, depth: int = 4, seed: int = 1,
+    share: float = 0.7, trees: int = 20, depth: int = 4, seed: int = 1, partitions: int | None = None,
 ) -> Trained:
-    """Forest on a Bernoulli split, evaluated on its own two parts and on a second table."""
+    """Forest on a Bernoulli split, evaluated on its own two parts and on a second table.
+
+    With ``partitions`` the training rows are dealt out by key first (see ``dealt``), here and in the
+    jobs below, so that the model does not depend on how the input is laid out.
+    """
     parts = sampling.split_hash(df, keys, share, seed)
-    model = models.fit_forest(widen(parts.filter("part = 'train'")), features, label, trees, depth, seed=seed)
+    model = models.fit_forest(dealt(parts.filter("part = 'train'"), keys, partitions), features, label, trees, depth, seed=seed)
     columns = [*keys, F.col(label).alias("label"), "part", *features]
     both = parts.select(*columns).unionByName(second.withColumn("part", F.lit("second")).select(*columns))
     scored = models.score(model, both, features)
@@ -118,11 +123,11 @@ def forest_job(
 
 def large_forest_job(
     df: DataFrame, second: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-    test_share: float = 0.25, trees: int = 100, depth: int = 12, seed: int = 101,
+    test_share: float = 0.25, trees: int = 100, depth: int = 30, seed: int = 101, partitions: int | None = None,
 ) -> Trained:
     """The same with an exact split and a deeper, larger forest."""
     parts = sampling.split_exact(df, keys, sampling.rest_size(test_share), seed)
-    model = models.fit_large_forest(widen(parts.filter("part = 'train'")), features, label, trees, depth, seed)
+    model = models.fit_large_forest(dealt(parts.filter("part = 'train'"), keys, partitions), features, label, trees, depth, seed)
     columns = [*keys, F.col(label).alias("label"), "part", *features]
     both = parts.select(*columns).unionByName(second.withColumn("part", F.lit("second")).select(*columns))
     scored = models.score(model, both, features)
@@ -131,7 +136,7 @@ def large_forest_job(
 
 def boosted_job(
     df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-    splits_path: str | None = None, seed: int = 2,
+    splits_path: str | None = None, seed: int = 2, partitions: int | None = None,
 ) -> Trained:
     """Boosted trees on a 70/15/15 split. With a path the parts are written there first, and
     training reads the written files."""
@@ -139,7 +144,7 @@ def boosted_job(
     if splits_path is not None:
         write_splits(parts, splits_path, [*keys, label, *features])
         parts = df.sparkSession.read.parquet(splits_path)
-    model = models.fit_boosted(widen(parts.filter("part = 'train'")), features, label)
+    model = models.fit_boosted(dealt(parts.filter("part = 'train'"), keys, partitions), features, label)
     scored = models.score(model, parts.withColumnRenamed(label, "label"), features)
     return _trained(model, scored, evaluate.confusion_counts(scored, part="part"))
 
@@ -147,14 +152,14 @@ def boosted_job(
 def perceptron_job(
     df: DataFrame, features: Sequence[str] | str, label: str, keys: Sequence[str],
     share: float = 0.75, hidden: Sequence[int] = (64, 64), layers: Sequence[int] | None = None,
-    inputs: int | None = None, iterations: int = 5, seed: int = 1,
+    inputs: int | None = None, iterations: int = 5, seed: int = 1, partitions: int | None = None,
 ) -> Trained:
     """Perceptron on a Bernoulli split; the metrics also hold log-loss and weighted averages."""
     names = [features] if isinstance(features, str) else list(features)
-    one = F.when(F.col(label) == 1.0, 1).otherwise(0).cast("int").alias("label")
+    one = binary_label(label).alias("label")
     parts = sampling.split_hash(df.select(*keys, one, *names), keys, share, seed)
     model = models.fit_perceptron(
-        widen(parts.filter("part = 'train'")), features, "label", hidden, inputs, layers=layers,
+        dealt(parts.filter("part = 'train'"), keys, partitions), features, "label", hidden, inputs, layers=layers,
         iterations=iterations, seed=seed,
     )
     scored = models.score(model, parts.filter("part = 'test'"), features)
@@ -167,6 +172,7 @@ def perceptron_job(
 def perceptron_minmax_job(
     df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
     share: float = 0.75, hidden: Sequence[int] = (64, 64), iterations: int = 50, seed: int = 1,
+    partitions: int | None = None,
 ) -> Trained:
     """Perceptron on an exact sample, scaled to the sample's ranges; both parts are evaluated."""
     parts = sampling.split_exact(
@@ -179,7 +185,7 @@ def perceptron_minmax_job(
     scaled = scaler.transform(parts)
     scaled = scaled.fillna(0.0, subset=constant) if constant else scaled
     model = models.fit_perceptron(
-        widen(scaled.filter(training)), features, "label", hidden, iterations=iterations, seed=seed
+        dealt(scaled.filter(training), keys, partitions), features, "label", hidden, iterations=iterations, seed=seed
     )
     scored = models.score(model, scaled, features)
     counts = evaluate.confusion_counts(

@@ -123,13 +123,13 @@ def feature_names(spark: SparkSession, folder: str) -> DataFrame:
 # -- round trips --------------------------------------------------------------------------
 
 
-@query(f"""WITH {FF} SELECT o_orderkey::DOUBLE AS o_orderkey, label::DOUBLE AS label, o_totalprice, sum_qty,
+@query(f"""WITH {FF} SELECT o_orderkey, label::DOUBLE AS label, o_totalprice, sum_qty,
 {r('avg_tax', 'avg_tax')} FROM ff""")
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["o_orderkey", "label", "o_totalprice", "sum_qty", "avg_tax"]
     path = scratch_path(spark, "csv")
     writers.write_csv(frames.order_frame(spark, folder).select(*columns), path)
-    return rounded(readers.read_csv(spark, path, columns), ["avg_tax"])
+    return rounded(readers.read_csv(spark, path, columns, types={"o_orderkey": "long"}), ["avg_tax"])
 
 
 @query(f"WITH {FE} SELECT event_id::BIGINT AS event_id, label, value, hour FROM fe")

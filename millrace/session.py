@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,13 +28,13 @@ def local_session(app: str = "millrace", cores: int | str = 8, memory: str = "12
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor must be able to reach.
 
-    A machine-local folder is made only for a local session that names none.
+    A machine-local folder is made only for a session within one process that names none.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     made = getattr(context, "_millrace_folder", None)
     if made is None:
@@ -77,9 +78,10 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a small table over all cores before iterative work; a table with at least as many
-    partitions as cores is left alone. For frames without a shuffle, where counting partitions
-    runs no job."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def dealt(df: DataFrame, keys, partitions: int | None) -> DataFrame:
+    """``df`` dealt over ``partitions`` by its keys and sorted by them in each.
+
+    Learners that draw per partition then see the same rows in the same places however the input is
+    laid out, so equal tables, seeds and ``partitions`` give equal models. ``None`` leaves the layout.
+    """
+    return df if partitions is None else df.repartition(partitions, *keys).sortWithinPartitions(*keys)

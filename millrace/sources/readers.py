@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,32 +34,42 @@ def read_csv(
     columns: Sequence[str] | None = None,
     missing: Sequence[str] = MISSING_TEXTS,
     malformed: str = "error",
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Numeric CSV with a header, all columns as doubles.
+    """CSV with a header: doubles, or what ``types`` says of a column (``double``, ``long`` or ``string``).
 
     With ``columns`` the names are known up front, no job runs before the scan, and a header
     that differs is an error. Texts in ``missing`` become NULL. Any other text that is no number
-    fails the query, or becomes NULL with ``malformed="null"``.
+    fails the query, or becomes NULL with ``malformed="null"``. A line with more or fewer values
+    than the header fails it too; with ``malformed="null"`` what is missing is NULL and what is
+    over is left out. Keys beyond 2 ** 53 need ``long`` or ``string``.
     """
     if malformed not in ("error", "null"):
         raise ValueError("malformed must be 'error' or 'null'")
-    reader = spark.read.option("header", True)
+    types = dict(types or {})
+    if wrong := {t for t in types.values() if t not in ("double", "long", "string")}:
+        raise ValueError(f"unknown types {sorted(wrong)}")
+    # all values of a line are parsed, or a ragged line would pass where few columns are used
+    reader = spark.read.option("header", True).option("columnPruning", malformed == "null")
+    reader = reader.option("mode", "FAILFAST" if malformed == "error" else "PERMISSIVE")
     if columns is not None:
         fields = [T.StructField(c, T.StringType()) for c in columns]
         reader = reader.schema(T.StructType(fields)).option("enforceSchema", False)
     raw = reader.csv(path)
-    return raw.select(*[_parsed(raw[c], c, missing, malformed).alias(c) for c in raw.columns])
+    return raw.select(*[_parsed(raw[c], c, missing, malformed, types.get(c, "double")).alias(c) for c in raw.columns])
 
 
-def _parsed(text: Column, name: str, missing: Sequence[str], malformed: str) -> Column:
-    present = F.when(~F.trim(text).isin(*missing), F.trim(text))
-    parsed = present.try_cast("double")
-    value = number(parsed)
+def _parsed(text: Column, name: str, missing: Sequence[str], malformed: str, kind: str) -> Column:
+    present = F.when(~F.trim(text).isin(*missing), text if kind == "string" else F.trim(text))
+    if kind == "string":
+        return present
+    parsed = present.try_cast("bigint" if kind == "long" else "double")
+    value = parsed if kind == "long" else number(parsed)
     if malformed == "null":
         return value
     complaint = F.concat(F.lit(f"column {name}: not a number: "), present)
     bad = present.isNotNull() & parsed.isNull()
-    return F.when(bad, F.raise_error(complaint).cast("double")).otherwise(value)
+    return F.when(bad, F.raise_error(complaint).cast("bigint" if kind == "long" else "double")).otherwise(value)
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:

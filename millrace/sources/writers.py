@@ -17,14 +17,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_splits(
-    df: DataFrame, path: str, columns: Sequence[str], part: str = "part", mode: str = "errorifexists"
+    df: DataFrame, path: str, columns: Sequence[str], part: str = "part", mode: str = "errorifexists",
+    form: str = "parquet",
 ) -> None:
-    """All parts in one pass, one folder per part.
+    """All parts in one pass, one folder per part, as parquet or (``form="csv"``) as CSV with headers.
 
     ``columns`` should hold the key, so that feature and label projections of the same files
     can be tied together again. No shuffle: a task writes at most one file per part.
     """
-    df.select(*columns, F.col(part).alias("part")).write.mode(mode).partitionBy("part").parquet(path)
+    if form not in ("parquet", "csv"):
+        raise ValueError("form must be 'parquet' or 'csv'")
+    writer = df.select(*columns, F.col(part).alias("part")).write.mode(mode).partitionBy("part")
+    writer.format(form).option("header", True).save(path)
 
 
 def write_libsvm(

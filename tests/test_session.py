@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import session
+from millrace.operators import models
 
 
 def _fake(folder, master):
@@ -38,11 +39,17 @@ def test_frozen_row_ids_never_change(spark):
     assert "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_only_small_tables_are_widened(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert session.widen(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores + 3)
-    assert session.widen(many) is many
+def test_a_forest_does_not_depend_on_the_layout_of_its_input(spark):
+    base = spark.range(3000).select(
+        "id", (F.xxhash64("id") % 100).cast("double").alias("a"), (F.xxhash64("id", "id") % 50).cast("double").alias("b")
+    ).withColumn("label", ((F.col("a") + F.col("b") > 30) != (F.col("id") % 7 == 0)).cast("int"))
+    found = []
+    for layout in (base.repartition(1), base.repartition(13).orderBy(F.desc("b"))):
+        rows = session.dealt(session.freeze(layout), ["id"], 6)
+        model = models.fit_forest(rows, ["a", "b"], trees=5)
+        found.append({r.id: r.prediction for r in models.score(model, base, ["a", "b"]).collect()})
+    assert found[0] == found[1]
+    assert session.dealt(base, ["id"], None) is base
 
 
 def test_tasks_need_no_installed_package(tmp_path):

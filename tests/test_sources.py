@@ -118,3 +118,34 @@ def test_names_labels_and_spread(spark):
 
 def test_coefficient_line_text(spark):
     assert spark.range(1).select(coefficient_line(F.lit("x"), F.lit(1.5))).first()[0] == "(x,1.500000)"
+
+
+def test_ragged_lines_are_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\n")
+    for line in ("4,5", "6,7,8,9"):
+        path = tmp_path / f"{len(line)}.csv"
+        path.write_text(f"a,b,c\n1,2,3\n{line}\n")
+        for columns in (None, ["a", "b", "c"]):
+            df = readers.read_csv(spark, str(path), columns)
+            for wanted in (df, df.select("a")):
+                with pytest.raises(Exception, match="(?i)malformed"):
+                    wanted.collect()
+    rows = readers.read_csv(spark, str(tmp_path / "t.csv"), malformed="null").collect()
+    assert [tuple(r) for r in rows] == [(1.0, 2.0, 3.0), (4.0, 5.0, None), (6.0, 7.0, 8.0)]
+
+
+def test_column_types(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("k,name,x\n9007199254740993, one ,1\n9007199254740992,NA,2.5\n")
+    df = readers.read_csv(spark, str(tmp_path), types={"k": "long", "name": "string"})
+    assert sorted(map(tuple, df.collect())) == [(9007199254740992, None, 2.5), (9007199254740993, " one ", 1.0)]
+    with pytest.raises(ValueError):
+        readers.read_csv(spark, str(tmp_path), types={"k": "int"})
+
+
+def test_splits_as_csv(spark, tmp_path):
+    df = spark.range(9).select("id", F.when(F.col("id") < 6, "train").otherwise("test").alias("part"))
+    path = str(tmp_path / "out")
+    writers.write_splits(df, path, ["id"], form="csv")
+    assert readers.read_csv(spark, f"{path}/part=test", ["id"]).count() == 3
+    with pytest.raises(ValueError):
+        writers.write_splits(df, path, ["id"], form="orc")
