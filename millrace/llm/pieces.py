@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from millrace.llm.text import BLOCK, filled, read_file, strings, unused
 
 SPACE = "▁"
-KEPT = 1 << 18  # word lattices kept by a task before they are dropped
+KEPT = 1 << 17  # word lattices kept by a task before they are dropped
+TOGETHER = 1 << 14  # words whose lattices are built at once
 LONGEST = 4096  # characters: a longer run without spaces is cut there, so that no lattice grows without bound
 STEP = 0x9E3779B97F4A7C15
 FACTOR = np.uint64(0xFF51AFD7ED558CCD)
@@ -118,7 +119,7 @@ class Lattices(dict):
         self.v = v
         self.words: list[str] = []
         self.first, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.reach, self.back, self.number = np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.reach, self.length, self.number = np.empty(0), np.empty(0, np.int8), np.empty(0, np.int32)
         self.nodes = 0
 
     def __missing__(self, key) -> int:
@@ -127,13 +128,16 @@ class Lattices(dict):
         return number
 
     def build(self) -> None:
-        """Lattices for the words that came since the last call, all of them together.
+        """Lattices for the words that came since the last call."""
+        while len(self.sizes) < len(self.words):
+            self._build(self.words[len(self.sizes) :][:TOGETHER])
+
+    def _build(self, words: list[str]) -> None:
+        """Lattices of some words, all of them together.
 
         Before each word stands one separator, so that a character's place is its node.
         """
-        v, words = self.v, self.words[len(self.sizes) :]
-        if not words:
-            return
+        v = self.v
         sizes = np.asarray(list(map(len, words)), np.int64)
         first = np.cumsum(sizes + 1) - sizes - 1
         codes = np.frombuffer((SEPARATOR + SEPARATOR.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -196,7 +200,8 @@ class Lattices(dict):
         reach += into + self.nodes
         self.first = np.concatenate([self.first, first + self.nodes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.reach, self.back = np.concatenate([self.reach, reach]), np.concatenate([self.back, out + self.nodes])
+        self.reach = np.concatenate([self.reach, reach])
+        self.length = np.concatenate([self.length, (into - out).astype(np.int8)])
         self.nodes += len(total)
         self.number = np.concatenate([self.number, number.astype(np.int32)])
 
@@ -211,7 +216,7 @@ def sample(lattices: Lattices, word: np.ndarray, stream: np.ndarray) -> tuple[np
     ``end`` characters they reach, and the number of pieces of each occurrence.
     """
     lattices.build()
-    reach, back, number = lattices.reach, lattices.back, lattices.number
+    reach, length, number = lattices.reach, lattices.length, lattices.number
     first = lattices.first[word]
     at = first + lattices.sizes[word]
     active, steps = np.arange(len(word)), []
@@ -220,10 +225,11 @@ def sample(lattices: Lattices, word: np.ndarray, stream: np.ndarray) -> tuple[np
         bits = mixed(stream[active] + np.uint64((len(steps) + 1) * STEP % (1 << 64))) >> np.uint64(64 - DRAW_BITS)
         nodes = at[active]
         chosen = np.searchsorted(reach, nodes + (bits.astype(np.float64) + 0.5) / (1 << DRAW_BITS), side="left")
-        steps.append((active, chosen, nodes - first[active]))
+        steps.append((active, chosen, (nodes - first[active]).astype(np.int32)))
         counts[active] += 1
-        at[active] = back[chosen]
-        active = active[back[chosen] > first[active]]
+        nodes = nodes - length[chosen]
+        at[active] = nodes
+        active = active[nodes > first[active]]
     last = np.cumsum(counts) - 1
     pieces, ends = np.empty(counts.sum(), np.int32), np.empty(counts.sum(), np.int32)
     for k, (owners, chosen, reached) in enumerate(steps):
