@@ -103,6 +103,24 @@ def test_lines_against_all_pairs(spark):
         assert (r.text, r.n_lines, r.n_removed) == ("\n".join(left), len(own), len(own) - len(left))
 
 
+def test_lines_of_one_bucket_with_interleaved_groups(spark):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    groups = [list("".join(rng.choices(letters, k=60))) for _ in range(8)]
+    texts = []
+    for k in range(32):  # four near copies of each
+        own = groups[k % 8].copy()
+        own[30 + k // 8] = "#"
+        texts.append((k, "".join(own)))
+    texts += [(32 + k, "".join(rng.choices(letters, k=60))) for k in range(6)]
+    lines_ = spark.createDataFrame(texts, "id long, line string")
+    met = lines_.select(F.lit(1).alias("band"), "id")
+    sets = {k: {x[j : j + 5] for j in range(len(x) - 4)} for k, x in texts}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = {r.id: r.root for r in lines.linked(met, lines.line_texts(met, lines_), 0.8).collect()}
+    assert found == union(links, list(sets)) and len(set(found.values())) == 14
+
+
 def test_lines_of_an_empty_table(spark):
     assert lines.remove_repeats(frame(spark).limit(0), "doc_id").count() == 0
 
