@@ -121,6 +121,28 @@ def test_lines_of_one_bucket_with_interleaved_groups(spark):
     assert found == union(links, list(sets)) and len(set(found.values())) == 14
 
 
+def test_signatures_find_single_letter_edits(spark):
+    rng = random.Random(9)
+    shingles = lambda x: {x[j : j + 5] for j in range(len(x) - 4)}
+    made, chance = [], []
+    while len(made) < 1200:
+        x = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(rng.randint(6, 12)))
+        y = list(x)
+        for place in rng.sample(range(len(x)), max(1, len(x) // 60)):
+            y[place] = "#"
+        a, b = shingles(x), shingles("".join(y))
+        if (s := len(a & b) / len(a | b)) >= 0.8:
+            made += [x, "".join(y)]
+            chance.append(1 - (1 - s**lines.ROWS) ** lines.BANDS)
+    pair = "abcdefghijklmno pqrstuvwxyzabcd fghijklmnopqrst vwxyzabcdefghijk"
+    made += [pair, f"{pair}l"]  # 64 and 65 characters with 3 spaces
+    made += ["quick brown foxes jump over lazy dogs in a  fence near the river"[:64], "quick brown foxes jump over lazy dogs in a  fence near the rivers"]
+    signed = lines.signatures(spark.createDataFrame(list(enumerate(made)), "id long, line string"))
+    bands = {r.id: set(r.bands) for r in signed.collect()}
+    met = [bool(bands[k] & bands[k + 1]) for k in range(0, len(made), 2)]
+    assert np.mean(met[:600]) > np.mean(chance) - 0.008 and all(met[600:])
+
+
 def test_lines_of_an_empty_table(spark):
     assert lines.remove_repeats(frame(spark).limit(0), "doc_id").count() == 0
 
