@@ -63,7 +63,7 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = lines.remove_repeats(docs, "doc_id")
+    found = lines.remove_repeats(docs, "doc_id", min_chars=1)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -1,5 +1,6 @@
 """Near copies, lines, benchmark passages, pages, conversations and the pipeline against plain versions."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -143,6 +144,16 @@ def test_signatures_find_single_letter_edits(spark):
     assert np.mean(met[:600]) > np.mean(chance) - 0.008 and all(met[600:])
 
 
+def test_short_lines_of_the_query(spark, tmp_path):
+    from millrace.llm import queries
+
+    rows = [(1, "menu\n\nread more\n读\nread  all of it"), (2, "read more\n\n \nmenu\nmenus\n读"), (3, "read  all of it!\n\nok")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert {k: (r.n_lines, r.n_removed) for k, r in found.items()} == {1: (5, 0), 2: (6, 3), 3: (3, 1)}
+    assert found[2].kept_sha256 == hashlib.sha256(b"\n \nmenus").hexdigest()
+
+
 def test_lines_of_an_empty_table(spark):
     assert lines.remove_repeats(frame(spark).limit(0), "doc_id").count() == 0
 
