@@ -289,3 +289,13 @@ def test_pipeline_stages(spark, folder):
     labels = spark.read.parquet(f"{small}/labels.parquet").collect()
     good, bad = ([r.doc_id for r in labels if r.quality == q] for q in (1, 0))
     assert np.mean([d in seen for d in good]) > 0.7 and np.mean([d in seen for d in bad]) < 0.05
+
+
+def test_line_stage_of_the_pipeline_keeps_what_is_left(spark):
+    import corpus_pipeline
+
+    shared, own = "a long line that stands in two of the documents here", "the only line of its kind, a short end"
+    rows = [(1, "\n".join([shared] * 4)), (2, f"{shared}\n{own}"), (3, f"{shared}\n\n{shared}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source", "0L AS n_chars")
+    found = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert found == {1: (shared, len(shared)), 2: (own, len(own))}
