@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
+from millrace.llm import chat, clusters, decontaminate, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -91,3 +91,33 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(docs, forest)
     counts = [F.col(f"quality.{c}").alias(c) for c in quality.COUNTS]
     return judged.select("doc_id", *counts, "quality.base_failed", "quality.kept", "quality.score")
+
+
+def _cluster_sql(k: int = 8, rounds: int = 10, dim: int = 64, scale: int = 1024) -> str:
+    """One pair of named tables per round: assignments, then floored means."""
+    nearest = """SELECT * FROM (
+        SELECT kept.vec_id, kept.v, c, list_sum(list_transform(list_zip(kept.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM kept CROSS JOIN m{0} m) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1"""
+    parts = [
+        f"""kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE len(embedding) = {dim}
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v FROM kept
+        ORDER BY sha256('3:' || vec_id) LIMIT {k})""",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({nearest.format(r)})")
+        parts.append(f"""s{r} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+            SELECT c, unnest(v) AS x, unnest(range(1, {dim} + 1)) AS i FROM a{r}) GROUP BY c, i)""")
+        parts.append(f"""m{r + 1} AS MATERIALIZED (SELECT c, coalesce(w, v) AS v FROM m{r} LEFT JOIN (
+            SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS w FROM s{r} GROUP BY c) USING (c))""")
+    parts.append(f"a{rounds} AS MATERIALIZED ({nearest.format(rounds)})")
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+            (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN m{rounds} USING (c)"""
+
+
+@query(_cluster_sql())
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.cluster(table(spark, folder, "embeddings"), "vec_id", "embedding", k=8, rounds=10, dim=64)
