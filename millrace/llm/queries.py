@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, clusters, decontaminate, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
+from millrace.llm import chat, clusters, decontaminate, hard_negatives, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -121,3 +121,28 @@ def _cluster_sql(k: int = 8, rounds: int = 10, dim: int = 64, scale: int = 1024)
 @query(_cluster_sql())
 def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.cluster(table(spark, folder, "embeddings"), "vec_id", "embedding", k=8, rounds=10, dim=64)
+
+
+@query("""
+    WITH rows AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+            list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS score
+        FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, other_id AS negative_id,
+        positive_score::BIGINT AS positive_score, score::BIGINT AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+    QUALIFY row_number() OVER best <= 5""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchor = F.col("vec_id") % 100 == 0
+    return hard_negatives.mine(table(spark, folder, "embeddings"), "vec_id", "embedding", moved, anchor)
