@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, clusters, decontaminate, hard_negatives, language_model, lines, pages, pieces, quality, simhash, substrings, token_counts
+from millrace.llm import chat, clusters, decontaminate, hard_negatives, language_model, lines, pages, pieces, quality, run_index, simhash, substrings, token_counts
 from millrace.llm.text import table
 
 QUERIES = {}
@@ -146,3 +146,29 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     anchor = F.col("vec_id") % 100 == 0
     return hard_negatives.mine(table(spark, folder, "embeddings"), "vec_id", "embedding", moved, anchor)
+
+
+@query("""
+    WITH texts AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+    windows AS (
+        SELECT r, i, md5(t[i + 1:i + 200]) AS w FROM (SELECT r, t, unnest(range(octet_length(t) - 199)) AS i FROM texts)),
+    repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+    fresh AS (
+        SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 1 ELSE 0 END AS gap FROM repeated),
+    spans AS (
+        SELECT r, min(i) AS a, max(i) + 200 AS b FROM (
+            SELECT r, i, sum(gap) OVER (PARTITION BY r ORDER BY i) AS span FROM fresh) GROUP BY r, span),
+    edges AS (
+        SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans
+        UNION ALL SELECT r, octet_length(t), octet_length(t), coalesce(max(b), 0) FROM texts LEFT JOIN spans USING (r) GROUP BY r, t),
+    kept AS (
+        SELECT r, sum(b - a) AS n_removed, count_if(b > a) AS n_spans,
+            string_agg(CASE WHEN a > before THEN hex(t[before + 1:a]) ELSE '' END, '' ORDER BY a, b DESC) AS bytes
+        FROM edges JOIN texts USING (r) GROUP BY r)
+    SELECT doc_id, octet_length(t)::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans,
+        sha256(unhex(bytes)) AS kept_sha256
+    FROM texts JOIN kept USING (r)""")
+def op13_run_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = run_index.remove_repeats(table(spark, folder, "documents"), "doc_id", length=200)
+    return found.drop("spans")
