@@ -3,13 +3,15 @@
 Rows are ordered by a seeded hash of their key. The first k rows in that order are the rows
 whose hash lies below a cut, and the cut is found by counting rows per hash prefix. So an exact
 split moves no rows: a few passes over the key columns count at most 4096 groups each, and the
-part of a row is a comparison with a constant.
+part of a row is a comparison with a constant. Where rows of one key lie on both sides, those rows
+alone are ordered further, by a hash of their contents and then by a row id.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,22 +22,30 @@ from millrace.session import store_with_row_id
 STEP = 3  # hex digits per counting pass: 16**3 groups
 ROW_ID = "_row_id"
 STREAM_RATE = 8.0  # mean draws per row and stream
-STREAMS_PER_TASK = 10_000  # beyond this a row's streams are spread over tasks
+BLOCK_STREAMS = 64  # streams of one row that stay together
 
 
 # -- cuts ---------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Tie:
+    """A rank among rows of one hash, of which ``rest`` lie below it."""
+
+    hash: str
+    rest: int
+
+
 def find_cuts(
     df: DataFrame,
     hashed: Column,
     ranks: Callable[[int], Sequence[int]],
     at_least: int = 0,
-) -> tuple[int, list[str | None]]:
+) -> tuple[int, list[str | Tie]]:
     """Row count n, and for each rank k in ``ranks(n)`` the cut with exactly k hashes below it.
 
-    A cut is None when equal hashes lie on both sides of it. With fewer than ``at_least`` rows
-    no cut is looked for.
+    Where equal hashes lie on both sides there is no such cut, but a ``Tie``. With fewer than
+    ``at_least`` rows no cut is looked for.
     """
     hashes = df.select(hashed.alias("h"))
     counts = _prefix_counts(hashes, STEP)
@@ -43,7 +53,7 @@ def find_cuts(
     if n < at_least:
         return n, []
     wanted = list(ranks(n))
-    cuts: dict[int, str | None] = {}
+    cuts: dict[int, str | Tie] = {}
     open_ranks: dict[int, tuple[str, int]] = {}
     for k in wanted:
         _descend(k, "", k, counts, cuts, open_ranks)
@@ -57,7 +67,8 @@ def find_cuts(
         for k, (prefix, rest) in pending.items():
             inside = {p: c for p, c in counts.items() if p.startswith(prefix)}
             _descend(k, prefix, rest, inside, cuts, open_ranks)
-    return n, [cuts.get(k) for k in wanted]
+    cuts |= {k: Tie(prefix, rest) for k, (prefix, rest) in open_ranks.items()}
+    return n, [cuts[k] for k in wanted]
 
 
 def _prefix_counts(hashes: DataFrame, digits: int) -> dict[str, int]:
@@ -71,7 +82,7 @@ def _descend(
     prefix: str,
     rest: int,
     counts: dict[str, int],
-    cuts: dict[int, str | None],
+    cuts: dict[int, str | Tie],
     open_ranks: dict[int, tuple[str, int]],
 ) -> None:
     """Settle rank k if ``rest`` falls between two groups, else note the group it falls into."""
@@ -146,14 +157,30 @@ def split_ranks(
 ) -> DataFrame:
     """Add the part of each row. Part sizes are exact even when keys repeat.
 
-    If equal keys lie across a cut, rows are stored once with a row id that joins the key.
+    The rows of a key that lies across a cut are stored and cut among themselves; all other rows are
+    placed by their key as ever. Equal tables are cut into equal parts however they are laid out.
     """
     hashed = row_hash(keys, seed)
     _, cuts = find_cuts(df, hashed, ranks)
-    if None in cuts:
-        stored = store_with_row_id(df, ROW_ID)
-        return split_ranks(stored, [*keys, ROW_ID], ranks, seed, names, part).drop(ROW_ID)
-    return _with_part(df, hashed, cuts, names, part)
+    tied = sorted({cut.hash for cut in cuts if isinstance(cut, Tie)})
+    if not tied:
+        return _with_part(df, hashed, cuts, names, part)
+    across = hashed.isin(tied)
+    content = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    held = df.filter(across).withColumns({"_first": hashed, "_second": content})
+    held = store_with_row_id(held, ROW_ID).withColumn("_third", row_hash([ROW_ID], seed))
+    cuts = [_cut_within(held, cut, ("_first", "_second", "_third")) if isinstance(cut, Tie) else cut for cut in cuts]
+    rest = _with_part(df.filter(~across), hashed, cuts, names, part)
+    place = F.concat("_first", "_second", "_third")
+    inside = _with_part(held, place, cuts, names, part).drop("_first", "_second", "_third", ROW_ID)
+    return rest.unionByName(inside)
+
+
+def _cut_within(held: DataFrame, tie: Tie, levels: Sequence[str]) -> str:
+    """The cut of a rank among the rows of one hash, by the hashes of the next levels."""
+    own = held.filter(F.col(levels[0]) == tie.hash)
+    _, (cut,) = find_cuts(own, F.col(levels[1]), lambda _: [tie.rest])
+    return tie.hash + (_cut_within(own, cut, levels[1:]) if isinstance(cut, Tie) else cut)
 
 
 def _with_part(
@@ -245,6 +272,7 @@ def oversample(
     seed: int = 0,
     within: Column | None = None,
     copy: str = "copy",
+    unique: bool | None = None,
 ) -> DataFrame:
     """Balance classes 0 and 1 by drawing minority rows with replacement.
 
@@ -255,71 +283,62 @@ def oversample(
     Every minority row gets a Poisson number of draws by its own hash, at a rate slightly above
     the need, and of all draws the ones with the smallest hashes are kept, exactly as many as are
     missing. Poisson counts given their sum are multinomial, and dropping random draws keeps that,
-    so this equals drawing with replacement. No row is shuffled and the table is read once.
+    so this equals drawing with replacement. Minority rows are dealt out by key before they are
+    multiplied; other rows stay where they are.
+
+    Rows must draw by themselves. Where minority rows repeat a key, which is found out by counting
+    keys unless ``unique`` says so, they are stored with a row id that joins their key; which rows are
+    drawn then depends on how the table is laid out.
     """
     sizes = class_sizes(df, label, within).first()
     missing, minority = sizes["difference"], sizes["minority"]
+    table = df.withColumn(copy, F.lit(0).cast("long"))
     if missing == 0:
-        return df.withColumn(copy, F.lit(0).cast("long"))
+        return table
     rows = min(sizes["n_pos"], sizes["n_neg"])
     if rows == 0:
         raise ValueError(f"no row with {label} = {minority} to draw from")
-    chosen = F.coalesce(F.col(label) == minority, F.lit(False))
-    if within is not None:
-        chosen = chosen & F.coalesce(within, F.lit(False))
+    chosen = F.col(label) == minority if within is None else (F.col(label) == minority) & within
+    own, names = df.filter(chosen), list(keys)
+    if unique is None:
+        unique = own.groupBy(F.unhex(row_hash(keys)).alias("k")).count().filter("count > 1").isEmpty()
+    if not unique:
+        own, names = store_with_row_id(own, ROW_ID), [*keys, ROW_ID]
 
     slack = 6.0
     while True:
-        drawn = _draws(df, chosen, keys, draw_rate(missing, rows, slack), seed, copy)
-        order = row_hash([*keys, copy], f"{seed}:keep")
-        found, cuts = find_cuts(
-            drawn.filter(F.col(copy) > 0), order, lambda n: [missing], at_least=missing
-        )
+        drawn = _draws(own, names, draw_rate(missing, rows, slack), seed, copy)
+        order = row_hash([*names, copy], f"{seed}:keep")
+        found, cuts = find_cuts(drawn, order, lambda n: [missing], at_least=missing)
         if found >= missing:
             break
         slack *= 4.0
-    if cuts[0] is None:  # equal keys across the cut
-        stored = store_with_row_id(df, ROW_ID)
-        return oversample(stored, label, [*keys, ROW_ID], seed, within, copy).drop(ROW_ID)
-    return drawn.filter((F.col(copy) == 0) | (order < cuts[0]))
+    if isinstance(cuts[0], Tie):
+        raise ValueError("minority rows repeat a key although unique=True")
+    return table.unionByName(drawn.filter(order < cuts[0]).drop(ROW_ID))
 
 
-def _draws(
-    df: DataFrame, chosen: Column, keys: Sequence[str], rate: float, seed: int, copy: str
-) -> DataFrame:
-    """The table with ``copy = 0``, and every chosen row again once per draw.
+def _draws(df: DataFrame, keys: Sequence[str], rate: float, seed: int, copy: str) -> DataFrame:
+    """Every row once per draw, numbered by ``copy`` from 1.
 
     A high rate is served by several streams per row, each with its own hash, since a sum of
-    Poisson variables is one. Stream 0 is the row itself.
+    Poisson variables is one. Rows go by key and block of streams to any task before they are
+    multiplied, so it does not matter where they lay or how few they are.
     """
     streams = math.ceil(rate / STREAM_RATE)
     cuts = poisson_cuts(rate / streams)
     most = len(cuts)
-    spread = _streams(df, chosen, keys, streams)
+    blocks = F.sequence(F.lit(0).cast("long"), F.lit((streams - 1) // BLOCK_STREAMS).cast("long"))
+    spread = df.withColumn("_block", F.explode(blocks)).repartition(*keys, "_block")
+    first = F.col("_block") * BLOCK_STREAMS + 1
+    last = F.least(first + (BLOCK_STREAMS - 1), F.lit(streams).cast("long"))
     steps = " ".join(f"WHEN _hash < '{cut}' THEN {k}" for k, cut in enumerate(cuts))
-    draws = F.expr(f"CASE WHEN _stream = 0 THEN 1 {steps} ELSE {most} END")
-    number = F.when(F.col("_stream") == 0, 0).otherwise((F.col("_stream") - 1) * most + F.col("_draw"))
+    numbers = F.expr(f"sequence(1L, CAST(CASE {steps} ELSE {most} END AS LONG))")
     return (
-        spread.withColumn("_hash", F.when(F.col("_stream") > 0, row_hash([*keys, "_stream"], f"{seed}:draw")))
-        .withColumn("_draws", draws)
-        .withColumn("_draw", F.explode(F.expr("CASE WHEN _draws > 0 THEN sequence(1L, CAST(_draws AS LONG)) END")))
-        .withColumn(copy, number.cast("long"))
-        .drop("_stream", "_hash", "_draws", "_draw")
-    )
-
-
-def _streams(df: DataFrame, chosen: Column, keys: Sequence[str], streams: int) -> DataFrame:
-    zero, last = F.lit(0).cast("long"), F.lit(streams).cast("long")
-    if streams <= STREAMS_PER_TASK:
-        ids = F.when(chosen, F.sequence(zero, last)).otherwise(F.array(zero))
-        return df.withColumn("_stream", F.explode(ids))
-    # Very few rows must be drawn very often: spread the streams of each row over the tasks.
-    size = F.lit(STREAMS_PER_TASK).cast("long")
-    start = F.col("_block") * size
-    blocks = df.filter(chosen).withColumn("_block", F.explode(F.sequence(zero, (last / size).cast("long"))))
-    many = (
-        blocks.repartition(*keys, "_block")
-        .withColumn("_stream", F.explode(F.sequence(start, F.least(start + size - 1, last))))
-        .drop("_block")
+        spread.withColumn("_stream", F.explode(F.sequence(first, last)))
+        .withColumn("_hash", row_hash([*keys, "_stream"], f"{seed}:draw"))
+        .filter(F.col("_hash") >= cuts[0])
+        .withColumn("_draw", F.explode(numbers))
+        .withColumn(copy, ((F.col("_stream") - 1) * most + F.col("_draw")).cast("long"))
+        .drop("_block", "_stream", "_hash", "_draw")
     )
-    return df.filter(~chosen).withColumn("_stream", zero).unionByName(many)

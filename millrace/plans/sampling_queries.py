@@ -69,6 +69,39 @@ def oversample_without_key(spark: SparkSession, folder: str) -> DataFrame:
     return df.groupBy("label").agg(F.count("*").alias("n_rows"), F.count_if(F.col("copy") == 0).alias("n_originals"))
 
 
+@query("""WITH keys AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY l_orderkey),
+placed AS (SELECT *, sum(c) OVER (ORDER BY md5('0:' || l_orderkey)) AS upto, floor(sum(c) OVER () * 0.8::DOUBLE) AS k FROM keys)
+SELECT l_orderkey, greatest(0, least(c, k - (upto - c)))::BIGINT AS n_train, c AS n_rows FROM placed""")
+def split_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines by order: whole orders lie on either side, only the one at the cut is divided, exactly."""
+    lines = frames.table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
+    parts = sampling.split_exact(lines, ["l_orderkey"])
+    return parts.groupBy("l_orderkey").agg(F.count_if(F.col("part") == "train").alias("n_train"), F.count("*").alias("n_rows"))
+
+
+@query("""WITH fl AS (SELECT l_partkey, (l_returnflag = 'R')::INTEGER AS label, l_quantity FROM lineitem),
+n AS (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS q FROM fl)
+SELECT label, count(*) AS n_originals, (SELECT greatest(p, q) FROM n) - count(*) AS n_drawn,
+  sum(l_quantity)::DOUBLE AS quantity, label = (SELECT (p < q)::INTEGER FROM n) AS each_row_draws_by_itself
+FROM fl GROUP BY label""")
+def oversample_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines by part: keys repeat, so rows of one key must not be drawn together."""
+    returned = F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("int")
+    lines = frames.table(spark, folder, "lineitem").select("l_partkey", returned.alias("label"), "l_quantity")
+    rows = sampling.oversample(store_with_row_id(lines, "line"), "label", ["l_partkey"])
+    drawn = F.count_if(F.col("copy") > 0)
+    per_row = rows.groupBy("label", "l_partkey", "line", "l_quantity").agg(drawn.alias("d"))
+    per_key = per_row.groupBy("label", "l_partkey").agg(
+        F.count("*").alias("c"), F.sum("d").alias("s"), F.sum("l_quantity").alias("q"), (F.max("d") != F.min("d")).alias("apart"),
+    )
+    found = per_key.groupBy("label").agg(
+        F.sum("c").alias("n_originals"), F.sum("s").alias("n_drawn"), F.sum("q").alias("quantity"),
+        F.count_if("apart").alias("apart"), F.count_if(F.col("c") > 1).alias("several"),
+    )
+    alone = F.coalesce(F.col("apart") > 0.5 * F.col("several"), F.lit(False)).alias("each_row_draws_by_itself")
+    return found.select("label", "n_originals", "n_drawn", F.col("quantity").cast("double"), alone)
+
+
 @query("SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders")
 def split_random(spark: SparkSession, folder: str) -> DataFrame:
     """Both parts of Spark's own split together are the table."""

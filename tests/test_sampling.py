@@ -64,6 +64,26 @@ def test_split_is_exact_when_a_third_of_the_rows_share_a_key(spark, share):
     assert set(rows[0].asDict()) == {"id", "key", "part"}
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_copies_of_the_key_at_the_cut_move_no_other_key(spark, parts):
+    order = sorted(range(1000), key=lambda i: _hash(0, i))
+    tied = order[799]
+    df = spark.range(1000).union(spark.range(tied, tied + 1).crossJoin(spark.range(60)).select(F.lit(tied))).withColumn("x", F.lit(None).cast("int"))
+    rows = sampling.split_exact(df.repartition(parts), ["id"], lambda n: 830).collect()
+    assert Counter(r.part for r in rows) == {"train": 830, "test": 230}
+    assert {r.id: r.part for r in rows if r.id != tied} == {
+        i: "train" if place < 799 else "test" for place, i in enumerate(order) if i != tied
+    }
+    assert Counter(r.part for r in rows if r.id == tied) == {"train": 31, "test": 30}
+
+
+def test_tied_rows_are_parted_by_their_contents_not_by_their_place(spark):
+    df = spark.range(900).select((F.col("id") % 3).alias("key"), (F.col("id") % 250).alias("x"), F.lit(None).alias("y"))
+    made = [sampling.split_three_way(df.repartition(n), ["key"]).collect() for n in (1, 4)]
+    assert Counter(map(tuple, made[0])) == Counter(map(tuple, made[1]))
+    assert Counter(r.part for r in made[0]) == {"train": 630, "test": 135, "validation": 135}
+
+
 def test_split_of_identical_rows(spark):
     df = spark.range(1000).select(F.lit(1).alias("key"))
     sizes = Counter(r.part for r in sampling.split_exact(df, ["key"]).collect())
@@ -160,13 +180,43 @@ def test_rows_of_a_part_only(spark):
     assert sizes == {("train", 1): 100, ("train", 0): 100, ("test", 1): 20, ("test", 0): 100}
 
 
-def test_many_streams_are_spread_over_tasks(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "STREAMS_PER_TASK", 7)
+def test_many_streams_of_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BLOCK_STREAMS", 7)
     rows = _balanced(_labelled(spark, 2, 900))
     assert Counter(r["label"] for r in rows) == {1: 900, 0: 900}
     assert len({(r["id"], r["copy"]) for r in rows}) == 1800
 
 
+def test_draws_are_spread_wherever_the_minority_lies(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = _labelled(spark, 2000, 42_000).orderBy("id").coalesce(1)
+        drawn = sampling.oversample(df, "label", ["id"]).filter("copy > 0").select(F.spark_partition_id().alias("p"))
+        sizes = [r["count"] for r in drawn.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 40_000 and len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+
+
+def test_rows_of_one_key_draw_by_themselves(spark):
+    """Ten keys of 100 equal rows: the draws of a row vary as draws with replacement do."""
+    df = _labelled(spark, 1000, 5000).withColumn("row", F.col("id"))
+    df = df.withColumn("id", F.when(F.col("label") == 1, F.col("id") % 10).otherwise(F.col("id")))
+    counts = Counter(r["row"] for r in _balanced(df) if r["copy"] > 0)
+    per_row = [counts.get(i, 0) for i in range(1000)]
+    assert sum(per_row) == 4000
+    assert sum((c - 4) ** 2 for c in per_row) / 1000 == pytest.approx(4.0, rel=0.2)
+    for key in range(10):
+        own = per_row[key::10]
+        assert len(set(own)) > 3 and 300 < sum(own) < 500
+
+
+def test_a_wrong_promise_of_unique_keys_is_refused(spark):
+    df = _labelled(spark, 30, 100).withColumn("id", F.when(F.col("label") == 1, -1).otherwise(F.col("id")))
+    with pytest.raises(ValueError, match="repeat a key"):
+        sampling.oversample(df, "label", ["id"], unique=True)
+
+
 def test_balancing_rows_with_equal_keys(spark):
     """All minority rows share one key: still exact, and whole."""
     df = _labelled(spark, 30, 100).withColumn("id", F.when(F.col("label") == 1, -1).otherwise(F.col("id")))
