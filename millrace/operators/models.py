@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +36,12 @@ def _training(df: DataFrame, features: Sequence[str] | str, label: str) -> DataF
 def fit_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 20,
     depth: int = 4, bins: int = 32, subset: str = "auto", seed: int = 1,
-    node_memory_mb: int = 256, keep_node_ids: bool = False,
+    node_memory_mb: int = 256, keep_node_ids: bool = False, bootstrap: bool = True,
 ) -> Model:
     """Random forest, gini impurity, all features continuous.
 
-    As many nodes as fit into ``node_memory_mb`` are split per pass over the rows. Kept node ids
+    Without ``bootstrap`` and with ``subset="all"`` every tree is the greedy tree of the table, which
+    depends on nothing else. As many nodes as fit into ``node_memory_mb`` are split per pass over the rows. Kept node ids
     save walking each row down deep trees in every pass.
     """
     if keep_node_ids:
@@ -47,18 +49,19 @@ def fit_forest(
     learner = RandomForestClassifier(
         labelCol=label, featuresCol=VECTOR, numTrees=trees, maxDepth=depth, maxBins=bins,
         featureSubsetStrategy=subset, impurity="gini", seed=seed, maxMemoryInMB=node_memory_mb,
-        cacheNodeIds=keep_node_ids,
+        cacheNodeIds=keep_node_ids, bootstrap=bootstrap,
     )
     return learner.fit(_training(df, features, label))
 
 
 def fit_large_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 100,
-    depth: int = 30, seed: int = 1,
+    depth: int = 30, seed: int = 1, subset: str = "sqrt", bootstrap: bool = True,
 ) -> Model:
     """A forest of 100 trees without a depth limit of its own; 30 is the deepest that Spark grows."""
     return fit_forest(
-        df, features, label, trees, depth, subset="sqrt", seed=seed, node_memory_mb=1024, keep_node_ids=True
+        df, features, label, trees, depth, subset=subset, seed=seed, node_memory_mb=1024, keep_node_ids=True,
+        bootstrap=bootstrap,
     )
 
 
@@ -66,7 +69,8 @@ def fit_boosted(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", rounds: int = 20,
     rate: float = 0.35, depth: int = 2, bins: int = 8, min_rows: int = 24, seed: int = 27,
 ) -> Model:
-    """Boosted trees. Depth 2 gives four leaves; 24 rows carry at most a hessian sum of 6."""
+    """Spark's own boosted trees, grown level by level: depth 2 gives four leaves, 24 rows carry at most a
+    curvature sum of 6. ``boosting.fit`` takes leaves and curvature as such."""
     set_checkpoint_folder(df.sparkSession)
     learner = GBTClassifier(
         labelCol=label, featuresCol=VECTOR, maxIter=rounds, stepSize=rate, maxDepth=depth,
@@ -79,10 +83,12 @@ def fit_perceptron(
     df: DataFrame, features: Sequence[str] | str, label: str = "label",
     hidden: Sequence[int] = (64, 64), inputs: int | None = None, outputs: int = 2,
     layers: Sequence[int] | None = None, iterations: int = 5, seed: int = 1, block_rows: int = 128,
+    initial: Sequence[float] | None = None,
 ) -> Model:
     """Perceptron with sigmoid hidden layers and a soft-max output.
 
-    ``layers`` overrides all widths; a wider output than there are classes is allowed.
+    ``layers`` overrides all widths; a wider output than there are classes is allowed. ``initial`` are
+    the weights to start from, such as those of an earlier fit; else they are drawn by the seed.
     """
     if layers is None:
         width = inputs if isinstance(features, str) else len(features)
@@ -93,6 +99,8 @@ def fit_perceptron(
         labelCol=label, featuresCol=VECTOR, layers=list(layers), maxIter=iterations, seed=seed,
         blockSize=block_rows,
     )
+    if initial is not None:
+        learner.setInitialWeights(Vectors.dense(list(initial)))
     return learner.fit(_training(df, features, label))
 
 
@@ -108,7 +116,7 @@ def training_curve(model: Model, spark: SparkSession) -> DataFrame:
 
 
 def boosting_curve(model: Model, df: DataFrame, features: Sequence[str] | str, label: str = "label") -> DataFrame:
-    """Mean loss of boosted trees on a table, one row per number of rounds."""
+    """Mean loss of Spark's boosted trees on a table, one row per number of rounds."""
     losses = model.evaluateEachIteration(_training(df, features, label))
     rows = [(i, float(loss)) for i, loss in enumerate(losses, start=1)]
     return df.sparkSession.createDataFrame(rows, "iteration int, loss double")

@@ -2,6 +2,7 @@
 
 from millrace.plans import (  # noqa: F401  (importing registers)
     job_queries,
+    learner_queries,
     profile_queries,
     sampling_queries,
     table_queries,

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import models, prepare, sampling
+from millrace.operators import models, prepare
 from millrace.plans import jobs, profile_queries  # noqa: F401  (registers the SQL used below)
-from millrace.plans.registry import FF, FL, ORDER_FEATURES, ORACLES, oversampled, query, r, rounded, split_at
-from millrace.session import freeze, scratch_path
+from millrace.plans.registry import FF, FL, ORACLES, query, r, rounded
+from millrace.session import scratch_path
 from millrace.sources import frames, readers, writers
 from millrace.sources.frames import LINE_FEATURES
 
@@ -95,7 +95,6 @@ def profile_job(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- models with a known answer ---------------------------------------------------------------
 
-_KEY = ["o_orderkey"]
 _HALF_DAY = """SELECT event_id, CAST(CASE WHEN hour(ts) >= 12 THEN 1 ELSE 0 END AS INTEGER) AS label,
 CAST(CASE WHEN hour(ts) >= 12 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM events"""
 
@@ -123,141 +122,3 @@ def boosted_separable(spark: SparkSession, folder: str) -> DataFrame:
     df = _half_day(spark, folder, 3)
     scored = models.score(models.fit_boosted(df, ["clock"]), df, ["clock"])
     return scored.select("event_id", "label", F.col("prediction").cast("int").alias("prediction"))
-
-
-def _scored_rows(counts: DataFrame) -> DataFrame:
-    """Rows per part and label that a job scored, whatever it predicted."""
-    return counts.groupBy("part", "label").agg(F.sum("n").alias("n"))
-
-
-@query(f"""WITH {FF}, cut AS (
-  SELECT *, md5('9:' || o_orderkey) < printf('%013x', floor(0.8::DOUBLE * 4503599627370496)::BIGINT) AS own FROM ff),
-sp AS (SELECT label, CASE WHEN NOT own THEN 'second'
-  WHEN md5('1:' || o_orderkey) < printf('%013x', floor(0.7::DOUBLE * 4503599627370496)::BIGINT)
-  THEN 'train' ELSE 'test' END AS part FROM cut)
-SELECT part, label::DOUBLE AS label, count(*) AS n FROM sp GROUP BY part, label""")
-def forest_job_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows of both parts and of the second table are scored, once."""
-    df, second = _two_tables(spark, folder)
-    return _scored_rows(jobs.forest_job(df, second, ORDER_FEATURES, "label", _KEY, partitions=16).counts)
-
-
-@query(f"""WITH {FF}, ranked AS (SELECT label, count(*) OVER () AS n,
-  row_number() OVER (ORDER BY md5('2:' || o_orderkey)) AS rank FROM ff)
-SELECT part, label::DOUBLE AS label, count(*) AS n FROM (
-  SELECT label, CASE WHEN rank <= n - ceil(n * 0.3::DOUBLE) THEN 'train'
-    WHEN rank <= n - ceil(ceil(n * 0.3::DOUBLE) * 0.5::DOUBLE) THEN 'test' ELSE 'validation' END AS part FROM ranked)
-GROUP BY part, label""")
-def boosted_job_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows of the three written parts are scored, once."""
-    path = scratch_path(spark, "splits")
-    return _scored_rows(jobs.boosted_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, path).counts)
-
-
-@query(f"""WITH {FF}, {split_at('ff', 'sp', 'o_orderkey', 'round_even(n * 0.75::DOUBLE, 0)', 1)}
-SELECT part, label::DOUBLE AS label, count(*) AS n FROM sp GROUP BY part, label""")
-def perceptron_job_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows of the sample and of its complement are scored, once."""
-    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY)
-    return _scored_rows(job.counts)
-
-
-# -- models: no SQL can train them, their rows are checked by tests ---------------------------
-
-
-def _scored(df: DataFrame, *keys: str) -> DataFrame:
-    return df.select(*keys, "part", "label", F.col("prediction").cast("int").alias("prediction"))
-
-
-def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The joined frame, stored once: the jobs read it several times."""
-    return freeze(frames.order_frame(spark, folder))
-
-
-def _two_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The orders of the forest jobs, and as their second table a fifth of all orders, set apart by key
-    before anything is fitted; both scaled by the statistics of the first."""
-    parts = sampling.split_hash(_orders(spark, folder), _KEY, 0.8, seed=9)
-    first, second = (parts.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
-    scaler = prepare.fit_zscore(first, ORDER_FEATURES)
-    return freeze(scaler.transform(first)), freeze(scaler.transform(second))
-
-
-@query()
-def forest_score(spark: SparkSession, folder: str) -> DataFrame:
-    df = sampling.split_hash(_orders(spark, folder), _KEY)
-    model = models.fit_forest(df.filter("part = 'train'"), ORDER_FEATURES)
-    return _scored(models.score(model, df, ORDER_FEATURES), *_KEY)
-
-
-@query()
-def boosted_score(spark: SparkSession, folder: str) -> DataFrame:
-    job = jobs.boosted_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY, scratch_path(spark, "splits"))
-    return _scored(job.scored, *_KEY)
-
-
-@query()
-def perceptron_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Ten classes of vectors, features from an array column."""
-    df = frames.embedding_frame(spark, folder).drop("label").withColumnRenamed("class", "label")
-    df = sampling.split_hash(df, ["vec_id"], 0.75, seed=1)
-    model = models.fit_perceptron(df.filter("part = 'train'"), "embedding", inputs=64, outputs=10)
-    return _scored(models.score(model, df, "embedding"), "vec_id")
-
-
-@query()
-def score_second_table(spark: SparkSession, folder: str) -> DataFrame:
-    """A model of the events applied to documents, scaled by the statistics of the events."""
-    events = frames.event_frame(spark, folder).select("label", F.col("value").alias("a"), F.col("hour").alias("b"))
-    docs = frames.doc_frame(spark, folder).select(
-        "doc_id", "label", F.col("n_chars").alias("a"), F.col("toxic").alias("b")
-    )
-    scaler = prepare.fit_zscore(events, ["a", "b"])
-    model = models.fit_forest(scaler.transform(events), ["a", "b"])
-    scored = models.score(model, scaler.transform(docs), ["a", "b"]).withColumn("part", F.lit("second"))
-    return _scored(scored, "doc_id")
-
-
-@query()
-def forest_job(spark: SparkSession, folder: str) -> DataFrame:
-    df, second = _two_tables(spark, folder)
-    return jobs.forest_job(df, second, ORDER_FEATURES, "label", _KEY, partitions=16).metrics
-
-
-@query()
-def large_forest_job(spark: SparkSession, folder: str) -> DataFrame:
-    df, second = _two_tables(spark, folder)
-    return jobs.large_forest_job(df, second, ORDER_FEATURES, "label", _KEY, partitions=16).metrics
-
-
-@query()
-def boosted_job(spark: SparkSession, folder: str) -> DataFrame:
-    return jobs.boosted_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY).metrics
-
-
-@query()
-def perceptron_job(spark: SparkSession, folder: str) -> DataFrame:
-    df = _orders(spark, folder)
-    df = prepare.fit_zscore(df, ORDER_FEATURES).transform(df)
-    wide_output = [len(ORDER_FEATURES), 64, 64, len(ORDER_FEATURES)]
-    return jobs.perceptron_job(df, ORDER_FEATURES, "label", _KEY, layers=wide_output).metrics
-
-
-@query()
-def perceptron_minmax_job(spark: SparkSession, folder: str) -> DataFrame:
-    job = jobs.perceptron_minmax_job(_orders(spark, folder), ORDER_FEATURES, "label", _KEY)
-    return job.metrics
-
-
-@query()
-def perceptron_curve(spark: SparkSession, folder: str) -> DataFrame:
-    """Training loss per iteration."""
-    df = frames.embedding_frame(spark, folder)
-    return models.training_curve(models.fit_perceptron(df, "embedding", inputs=64, iterations=50), spark)
-
-
-@query()
-def boosting_curve(spark: SparkSession, folder: str) -> DataFrame:
-    """Loss on the table per boosting round."""
-    df = _half_day(spark, folder, 3)
-    return models.boosting_curve(models.fit_boosted(df, ["clock"]), df, ["clock"])

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import binary_label
-from millrace.operators import evaluate, logistic, models, prepare, profile, sampling
+from millrace.operators import boosting, evaluate, logistic, models, prepare, profile, sampling
 from millrace.session import dealt
+from millrace.sources.readers import read_splits
 from millrace.sources.writers import write_coefficients, write_history, write_splits
 
 
@@ -94,19 +95,20 @@ def logistic_job(
 class Trained:
     """A model, its scored rows with their part, and metrics per part."""
 
-    model: Model
+    model: Model | boosting.Boosted
     scored: DataFrame
     counts: DataFrame
     metrics: DataFrame
 
 
-def _trained(model: Model, scored: DataFrame, counts: DataFrame) -> Trained:
+def _trained(model: Model | boosting.Boosted, scored: DataFrame, counts: DataFrame) -> Trained:
     return Trained(model, scored, counts, evaluate.class_metrics(counts))
 
 
 def forest_job(
     df: DataFrame, second: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
     share: float = 0.7, trees: int = 20, depth: int = 4, seed: int = 1, partitions: int | None = None,
+    subset: str = "auto", bootstrap: bool = True,
 ) -> Trained:
     """Forest on a Bernoulli split, evaluated on its own two parts and on a second table.
 
@@ -114,7 +116,8 @@ def forest_job(
     jobs below, so that the model does not depend on how the input is laid out.
     """
     parts = sampling.split_hash(df, keys, share, seed)
-    model = models.fit_forest(dealt(parts.filter("part = 'train'"), keys, partitions), features, label, trees, depth, seed=seed)
+    training = dealt(parts.filter("part = 'train'"), keys, partitions)
+    model = models.fit_forest(training, features, label, trees, depth, subset=subset, seed=seed, bootstrap=bootstrap)
     columns = [*keys, F.col(label).alias("label"), "part", *features]
     both = parts.select(*columns).unionByName(second.withColumn("part", F.lit("second")).select(*columns))
     scored = models.score(model, both, features)
@@ -124,10 +127,12 @@ def forest_job(
 def large_forest_job(
     df: DataFrame, second: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
     test_share: float = 0.25, trees: int = 100, depth: int = 30, seed: int = 101, partitions: int | None = None,
+    subset: str = "sqrt", bootstrap: bool = True,
 ) -> Trained:
     """The same with an exact split and a deeper, larger forest."""
     parts = sampling.split_exact(df, keys, sampling.rest_size(test_share), seed)
-    model = models.fit_large_forest(dealt(parts.filter("part = 'train'"), keys, partitions), features, label, trees, depth, seed)
+    training = dealt(parts.filter("part = 'train'"), keys, partitions)
+    model = models.fit_large_forest(training, features, label, trees, depth, seed, subset, bootstrap)
     columns = [*keys, F.col(label).alias("label"), "part", *features]
     both = parts.select(*columns).unionByName(second.withColumn("part", F.lit("second")).select(*columns))
     scored = models.score(model, both, features)
@@ -136,16 +141,17 @@ def large_forest_job(
 
 def boosted_job(
     df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-    splits_path: str | None = None, seed: int = 2, partitions: int | None = None,
+    splits_path: str | None = None, seed: int = 2, form: str = "parquet", **settings,
 ) -> Trained:
-    """Boosted trees on a 70/15/15 split. With a path the parts are written there first, and
-    training reads the written files."""
+    """Boosted trees on a 70/15/15 split. With a path the parts are written there first, as parquet or
+    CSV, and training reads the written files. ``settings`` are those of ``boosting.fit``; sums do not
+    depend on how rows are laid out."""
     parts = sampling.split_three_way(df.select(*keys, label, *features), keys, seed=seed)
     if splits_path is not None:
-        write_splits(parts, splits_path, [*keys, label, *features])
-        parts = df.sparkSession.read.parquet(splits_path)
-    model = models.fit_boosted(dealt(parts.filter("part = 'train'"), keys, partitions), features, label)
-    scored = models.score(model, parts.withColumnRenamed(label, "label"), features)
+        write_splits(parts, splits_path, [*keys, label, *features], form=form)
+        parts = read_splits(df.sparkSession, splits_path, parts.schema, form)
+    model = boosting.fit(parts.filter("part = 'train'"), features, label, **settings)
+    scored = boosting.score(model, parts.withColumnRenamed(label, "label"))
     return _trained(model, scored, evaluate.confusion_counts(scored, part="part"))
 
 
@@ -153,6 +159,7 @@ def perceptron_job(
     df: DataFrame, features: Sequence[str] | str, label: str, keys: Sequence[str],
     share: float = 0.75, hidden: Sequence[int] = (64, 64), layers: Sequence[int] | None = None,
     inputs: int | None = None, iterations: int = 5, seed: int = 1, partitions: int | None = None,
+    initial: Sequence[float] | None = None,
 ) -> Trained:
     """Perceptron on a Bernoulli split; the metrics also hold log-loss and weighted averages."""
     names = [features] if isinstance(features, str) else list(features)
@@ -160,7 +167,7 @@ def perceptron_job(
     parts = sampling.split_hash(df.select(*keys, one, *names), keys, share, seed)
     model = models.fit_perceptron(
         dealt(parts.filter("part = 'train'"), keys, partitions), features, "label", hidden, inputs, layers=layers,
-        iterations=iterations, seed=seed,
+        iterations=iterations, seed=seed, initial=initial,
     )
     scored = models.score(model, parts.filter("part = 'test'"), features)
     counts = evaluate.confusion_counts(
@@ -172,7 +179,7 @@ def perceptron_job(
 def perceptron_minmax_job(
     df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
     share: float = 0.75, hidden: Sequence[int] = (64, 64), iterations: int = 50, seed: int = 1,
-    partitions: int | None = None,
+    partitions: int | None = None, initial: Sequence[float] | None = None,
 ) -> Trained:
     """Perceptron on an exact sample, scaled to the sample's ranges; both parts are evaluated."""
     parts = sampling.split_exact(
@@ -185,7 +192,8 @@ def perceptron_minmax_job(
     scaled = scaler.transform(parts)
     scaled = scaled.fillna(0.0, subset=constant) if constant else scaled
     model = models.fit_perceptron(
-        dealt(scaled.filter(training), keys, partitions), features, "label", hidden, iterations=iterations, seed=seed
+        dealt(scaled.filter(training), keys, partitions), features, "label", hidden, iterations=iterations, seed=seed,
+        initial=initial,
     )
     scored = models.score(model, scaled, features)
     counts = evaluate.confusion_counts(

@@ -140,24 +140,38 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return read.withColumns({"event_id": F.col("event_id").cast("long"), "label": F.col("label").cast("int")})
 
 
-@query(f"""WITH {FF}, sp AS (SELECT *, row_number() OVER (ORDER BY md5('2:' || o_orderkey)) AS rank,
+_THREE_PARTS = f"""WITH {FF}, sp AS (SELECT *, row_number() OVER (ORDER BY md5('2:' || o_orderkey)) AS rank,
   count(*) OVER () AS n FROM ff)
 SELECT o_orderkey, label, o_totalprice, sum_qty, CASE WHEN rank <= n - ceil(n * 0.3::DOUBLE) THEN 'train'
-  ELSE 'test' END AS part FROM sp WHERE rank <= n - ceil(ceil(n * 0.3::DOUBLE) * 0.5::DOUBLE)""")
-def split_files_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Three parts written once; features and labels of two are read apart and joined by key."""
+  WHEN rank <= n - ceil(ceil(n * 0.3::DOUBLE) * 0.5::DOUBLE) THEN 'test' ELSE 'validation' END AS part FROM sp"""
+
+
+def _split_files(spark: SparkSession, folder: str, form: str) -> DataFrame:
+    """Three parts written once; features and labels of each are read apart and joined by key."""
     features = ["o_totalprice", "sum_qty"]
     df = frames.order_frame(spark, folder).select("o_orderkey", "label", *features)
     path = scratch_path(spark, "splits")
-    writers.write_splits(sampling.split_three_way(df, ["o_orderkey"]), path, df.columns)
+    parts = sampling.split_three_way(df, ["o_orderkey"])
+    writers.write_splits(parts, path, df.columns, form=form)
+    schema = parts.schema if form == "csv" else None
     joined = []
-    for part in ("train", "test"):
-        x = readers.read_split(spark, path, part, ["o_orderkey", *features])
-        y = readers.read_split(spark, path, part, ["o_orderkey", "label"])
+    for part in ("train", "test", "validation"):
+        x = readers.read_split(spark, path, part, ["o_orderkey", *features], schema)
+        y = readers.read_split(spark, path, part, ["o_orderkey", "label"], schema)
         joined.append(x.join(y, "o_orderkey").withColumn("part", F.lit(part)))
     return prepare.merge_tables(joined)
 
 
+@query(_THREE_PARTS)
+def split_files_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return _split_files(spark, folder, "parquet")
+
+
+@query(_THREE_PARTS)
+def split_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return _split_files(spark, folder, "csv")
+
+
 @query(f"""WITH {FE} SELECT event_id, label::FLOAT::DOUBLE AS label, i::INTEGER AS position,
 round(CASE i WHEN 0 THEN 1.0 WHEN 1 THEN value::FLOAT::DOUBLE ELSE hour END, 3) AS entry
 FROM fe, range(3) AS t(i)""")

@@ -9,6 +9,7 @@ ORDER_FEATURES = ["o_totalprice", "n_lines", "sum_qty", "avg_disc", "avg_tax"]
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 EVENT_FEATURES = ["value", "hour"]
 DOC_FEATURES = ["n_chars", "toxic"]
+BAND_FEATURES = ["price_band", "n_lines", "disc_band", "tax_band"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +58,18 @@ def line_frame(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(returned.alias("label"), *LINE_FEATURES)
 
 
+def heavy_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with more than 100 units, a label that the number of lines nearly gives away. The other
+    features are in bands, few enough for a tree to cut between any two."""
+    bands = {
+        "label": (F.col("sum_qty") > 100).cast("int"),
+        "price_band": F.floor(F.col("o_totalprice") / 20000.0).cast("double"),
+        "disc_band": F.floor(F.col("avg_disc") * 200.0 + 1e-6).cast("double"),
+        "tax_band": F.floor(F.col("avg_tax") * 200.0 + 1e-6).cast("double"),
+    }
+    return _orders_with_lines(spark, folder).withColumns(bands).select("o_orderkey", "label", "o_totalprice", *BAND_FEATURES)
+
+
 def event_frame(spark: SparkSession, folder: str) -> DataFrame:
     bought = F.when(F.col("event_type") == "purchase", 1).otherwise(0).cast("int")
     hour = F.hour("ts").cast("double")

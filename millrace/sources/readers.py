@@ -89,9 +89,18 @@ def read_libsvm(spark: SparkSession, path: str, features: int) -> DataFrame:
     return spark.read.format("libsvm").option("numFeatures", str(features)).load(path)
 
 
-def read_split(spark: SparkSession, path: str, part: str, columns: Sequence[str]) -> DataFrame:
-    """Columns of one part written by ``write_splits``; other parts' files are not opened."""
-    return spark.read.parquet(path).filter(F.col("part") == part).select(*columns)
+def read_split(
+    spark: SparkSession, path: str, part: str, columns: Sequence[str], schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Columns of one part written by ``write_splits``; other parts' files are not opened. Parts written
+    as CSV need the ``schema`` of the written columns."""
+    splits = spark.read.parquet(path) if schema is None else read_splits(spark, path, schema, "csv")
+    return splits.filter(F.col("part") == part).select(*columns)
+
+
+def read_splits(spark: SparkSession, path: str, schema: T.StructType | str, form: str = "parquet") -> DataFrame:
+    """All parts written by ``write_splits``, with their part."""
+    return spark.read.format(form).schema(schema).options(header=True, mode="FAILFAST").load(path)
 
 
 def feature_names(df: DataFrame, label: str, *others: str) -> list[str]:
