@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +26,11 @@ from millrace.functions.expressions import (
     logistic_slope,
     signed_label,
 )
-from millrace.session import keep
+from millrace.session import keep_spread
 
-# More features than this go through Arrow batches. Whole-stage code generation ends at 100 fields
-# (spark.sql.codegen.maxFields), and a pass adds up eleven numbers besides the gradient.
+# More columns than this become one array, whose gradient tasks add up by matrix products. Whole-stage
+# code generation ends at 100 fields (spark.sql.codegen.maxFields), and a pass adds up eleven numbers
+# besides the gradient. Scores, losses, slopes and what counts as missing are the same columns either way.
 WIDE = 80
 COUNTS = ("tp", "fp", "tn", "fn")
 INTERCEPT = "intercept"
@@ -39,27 +41,13 @@ INTERCEPT = "intercept"
 
 @dataclass(frozen=True)
 class Loss:
-    """A loss of the signed label y and the score z, with its derivative in z.
-
-    ``batch_*`` are the same functions on numpy arrays, used for wide rows only.
-    """
+    """A loss of the signed label y and the score z, with its derivative in z."""
 
     value: Callable[[Column, Column], Column]
     slope: Callable[[Column, Column], Column]
-    batch_value: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
-    batch_slope: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
-
-
-def _batch_logistic(y: np.ndarray, z: np.ndarray) -> np.ndarray:
-    return np.logaddexp(0.0, -y * z)
-
-
-def _batch_logistic_slope(y: np.ndarray, z: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return -y / (1.0 + np.exp(y * z))
 
 
-LOGISTIC = Loss(logistic_loss, logistic_slope, _batch_logistic, _batch_logistic_slope)
+LOGISTIC = Loss(logistic_loss, logistic_slope)
 
 
 # -- one pass -----------------------------------------------------------------------------
@@ -80,14 +68,13 @@ class Pass:
 class Rows:
     """Rows ready for passes: signed label ``y``, flag ``is_train`` and the features.
 
-    Few features are columns ``x1..xd``; many are one array column ``x``. What a pass adds up
-    does not depend on the weights, so those expressions are built once.
+    Few features are columns ``x1..xd``; many are one array column ``x``. What a pass derives from the
+    score and adds up does not depend on the weights, so those expressions are built once.
     """
 
     df: DataFrame
     width: int
     wide: bool
-    loss: Loss
     steps: Sequence[Column] = ()
     sums: dict[str, Column] = field(default_factory=dict)
 
@@ -100,39 +87,45 @@ def prepare_rows(
     loss: Loss = LOGISTIC,
     wide: bool | None = None,
 ) -> Rows:
-    """``features``: column names, or the name of one array column, whose length is that of the
-    first row. The label may be 0/1 or -1/+1.
+    """``features``: column names, or the name of one array column, as wide as its longest row; shorter
+    rows count as rows with a missing feature. The label may be 0/1 or -1/+1.
     """
     y = signed_label(label).alias("y")
     flag = F.coalesce(F.lit(True) if is_train is None else is_train, F.lit(False)).alias("is_train")
     if isinstance(features, str):
         x = F.col(features).cast("array<double>")
-        first = df.filter(F.col(features).isNotNull()).select(F.size(features)).head()
-        return Rows(df.select(y, flag, x.alias("x")), first[0] if first else 0, True, loss)
+        width = df.agg(F.max(F.size(features))).first()[0]
+        return Rows(df.select(y, flag, x.alias("x")), max(width or 0, 0), True, *_steps(loss, ["x"]))
     columns = [F.col(c).cast("double") for c in features]
     if wide or (wide is None and len(columns) > WIDE):
-        return Rows(df.select(y, flag, F.array(*columns).alias("x")), len(columns), True, loss)
-    named = [c.alias(f"x{j}") for j, c in enumerate(columns, start=1)]
-    steps, sums = _sums(loss, len(columns))
-    return Rows(df.select(y, flag, *named), len(columns), False, loss, steps, sums)
+        return Rows(df.select(y, flag, F.array(*columns).alias("x")), len(columns), True, *_steps(loss, ["x"]))
+    names = [f"x{j}" for j in range(1, len(columns) + 1)]
+    named = [c.alias(name) for c, name in zip(columns, names)]
+    steps, sums = _steps(loss, names)
+    for j, name in enumerate(["1", *names]):
+        sums[f"g{j}"] = F.expr(f"sum(w * {name})").alias(f"g{j}")
+    return Rows(df.select(y, flag, *named), len(columns), False, steps, sums)
 
 
-def _sums(loss: Loss, width: int) -> tuple[list[Column], dict[str, Column]]:
-    """What a pass derives from the score ``z`` of a row, and what it adds up."""
-    y, z, training = F.col("y"), F.col("z"), F.col("is_train")
-    names = [f"x{j}" for j in range(1, width + 1)]
+def _steps(loss: Loss, names: Sequence[str]) -> tuple[list[Column], dict[str, Column]]:
+    """What a pass derives from the score ``z`` of a row, and what it adds up besides the gradient.
+
+    A row without a label or a whole score is counted as unscored and adds nothing else.
+    """
+    y, z, training, good = F.col("y"), F.col("z"), F.col("is_train"), F.col("good")
+    whole = z.isNotNull() & ~F.isnan(z) & y.isNotNull()
     steps = [
         *[F.col(c) for c in ("y", "is_train", "z", *names)],
-        F.when(training, loss.value(y, z)).alias("loss"),
-        F.when(training, loss.slope(y, z)).alias("w"),
+        whole.alias("good"),
+        loss.value(y, z).alias("loss"),
+        F.when(training & whole, loss.slope(y, z)).alias("w"),  # NULL where a row trains nothing
     ]
-    sums = {"loss": F.sum("loss"), "g0": F.sum("w")}
-    for j, name in enumerate(names, start=1):
-        sums[f"g{j}"] = F.sum(F.col("w") * F.col(name))
-    for part, among in (("train", training), ("test", ~training)):
+    among = training & good
+    sums = {"loss": F.sum(F.when(among, F.col("loss")))}
+    for part, own in (("train", among), ("test", ~training & good)):
         for cell, hit in _cells(y, z).items():
-            sums[f"{part}_{cell}"] = F.count_if(among & hit)
-    sums["unscored"] = F.count_if(z.isNull() | F.isnan(z) | y.isNull())
+            sums[f"{part}_{cell}"] = F.count_if(own & hit)
+    sums["unscored"] = F.count_if(~good)
     return steps, {name: value.alias(name) for name, value in sums.items()}
 
 
@@ -168,45 +161,35 @@ def _cells(y: Column, z: Column) -> dict[str, Column]:
 
 
 def _wide_sums(rows: Rows, beta: list[float]) -> dict[str, float]:
-    """Each task adds up its Arrow batches with matrix products and emits one row per sum."""
-    loss = rows.loss
-    if loss.batch_value is None or loss.batch_slope is None:
-        raise ValueError("this loss has no batch form, which wide rows need")
-    bias, weights, width = beta[0], np.array(beta[1:]), rows.width
-    names = ["loss", "unscored", *[f"{p}_{c}" for p in ("train", "test") for c in COUNTS]]
-    names += [f"g{j}" for j in range(width + 1)]
+    """The score is a fold over the array. Tasks add up slopes times rows per Arrow batch; what else a
+    pass adds up travels as one array of numbers per row."""
+    width = rows.width
+    bias, *weights = [f"{b!r}D" if math.isfinite(b) else f"double('{b}')" for b in beta]
+    products = f"zip_with(x, array({', '.join(weights)}), (a, b) -> a * b)" if weights else "array()"
+    fold = F.expr(f"aggregate({products}, {bias}, (s, v) -> s + v)")
+    z = F.when(F.size("x") == width, fold).alias("z")
+    scored = rows.df.select("*", z).select(*rows.steps)
+    good, train = F.col("good"), F.col("is_train")
+    flags = {"loss": F.when(good & train, F.col("loss")).otherwise(0.0), "unscored": (~good).cast("double")}
+    for part, own in (("train", train & good), ("test", ~train & good)):
+        for cell, hit in _cells(F.col("y"), F.col("z")).items():
+            flags[f"{part}_{cell}"] = F.coalesce(own & hit, F.lit(False)).cast("double")
+    names, n = [*flags, *[f"g{j}" for j in range(width + 1)]], len(flags)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(names))
         for batch in batches:
-            total += _batch_sums(batch, bias, weights, loss)
+            total[:n] += [pc.sum(c).as_py() or 0.0 for c in batch.columns[2:]]
+            some = batch.filter(batch.column(0).is_valid())
+            slope = some.column(0).to_numpy(zero_copy_only=False)
+            x = some.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if width else np.zeros((len(slope), 0))
+            total[n:] += [slope.sum(), *(slope @ x)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(names), dtype="int32")), pa.array(total)], names=["slot", "value"]
         )
 
-    added = rows.df.mapInArrow(sums, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value"))
-    return {names[row["slot"]]: row["value"] for row in added.collect()}
-
-
-def _batch_sums(batch: pa.RecordBatch, bias: float, weights: np.ndarray, loss: Loss) -> np.ndarray:
-    y = batch.column(0).to_numpy(zero_copy_only=False).astype("float64")
-    training = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-    lists = batch.column(2)
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-    whole = (lengths == len(weights)) & ~np.isnan(y)
-    x = np.zeros((len(y), len(weights)))
-    flat = lists.filter(pa.array(whole)).flatten().to_numpy(zero_copy_only=False)
-    x[whole] = flat.reshape(-1, len(weights))
-    z = bias + x @ weights
-    good = whole & ~np.isnan(z)
-    y, z, x, training = y[good], z[good], x[good], training[good]
-    slope = np.where(training, loss.batch_slope(y, z), 0.0)
-    cells = []
-    for among in (training, ~training):
-        for predicted, actual in ((1, 1), (1, -1), (-1, -1), (-1, 1)):
-            cells.append(np.count_nonzero(among & (np.sign(z) == predicted) & (y == actual)))
-    value = loss.batch_value(y, z)[training].sum()
-    return np.concatenate([[value, np.count_nonzero(~good)], cells, [slope.sum()], slope @ x])
+    added = scored.select("w", "x", *[c.alias(n) for n, c in flags.items()]).mapInArrow(sums, "slot int, value double")
+    return {names[row["slot"]]: row["value"] for row in added.groupBy("slot").agg(F.sum("value").alias("value")).collect()}
 
 
 # -- sums as tables -----------------------------------------------------------------------
@@ -322,7 +305,8 @@ def train(
     """At most ``max_iter - 1`` updates ``beta -= alpha * gradient`` from zero weights.
 
     Gradient and norm belong to the weights before an update, loss and metrics to those after
-    it. Descent ends when the norm is at most ``eps`` (``eps = 0`` does no update). The n + 1
+    it. Descent ends when the norm is at most ``eps`` (``eps = 0`` does no update). Weights that leave
+    the range of numbers are an error. The n + 1
     passes of n updates read the same rows: only label, flag and features are kept, in memory
     and on executor disks; ``cache=False`` reads the input each time.
     """
@@ -330,14 +314,14 @@ def train(
     names = [f"{features}[{j}]" for j in range(rows.width)] if isinstance(features, str) else list(features)
     weights = np.zeros(rows.width + 1) if beta is None else np.array(beta, dtype="float64")
     history: list[tuple] = []
-    kept = replace(rows, df=keep(rows.df)) if cache else rows
+    kept = replace(rows, df=keep_spread(rows.df)) if cache else rows
     try:
         state = _checked(run_pass(kept, weights)) if eps > 0 and max_iter > 1 else None
         for update in range(1, max_iter if state else 1):
             slope = state.gradient + 2.0 * lam * weights
             weights = weights - alpha * slope
             length = math.sqrt(float(slope @ slope))
-            state = run_pass(kept, weights)
+            state = _finite(run_pass(kept, weights), update)
             penalised = state.loss + lam * float(weights @ weights)
             history.append((update, penalised, length, float(alpha), *_rates(state.train), *_rates(state.test)))
             if not length > eps:
@@ -352,3 +336,10 @@ def _checked(state: Pass) -> Pass:
     if state.unscored:
         raise ValueError(f"{state.unscored} rows have a missing label or feature")
     return state
+
+
+def _finite(state: Pass, update: int) -> Pass:
+    """Later passes read the same rows, so what has no score now had one before."""
+    if state.unscored or not (math.isfinite(state.loss) and np.isfinite(state.gradient).all()):
+        raise ValueError(f"the weights diverged at update {update}: take a smaller step")
+    return state

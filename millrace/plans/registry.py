@@ -146,8 +146,8 @@ def descent(source: str, columns: Sequence[str], alpha: str, lam: float, updates
     return ", ".join(parts)
 
 
-def history_rows(updates: int) -> str:
-    """History rows of ``descent``, without the step size."""
+def history_rows(updates: int | None) -> str:
+    """History rows of ``descent``, or of ``long_descent`` without a number, without the step size."""
     rates = []
     for p in ("train", "test"):
         tp, fp, tn, fn = (f"{p}_{c}" for c in ("tp", "fp", "tn", "fn"))
@@ -155,5 +155,30 @@ def history_rows(updates: int) -> str:
         rates.append(r(f"{tp} / ({tp} + {fp})::DOUBLE", f"{p}_precision"))
         rates.append(r(f"{tp} / ({tp} + {fn})::DOUBLE", f"{p}_recall"))
     columns = ", ".join([r("loss", "loss", 4), r("norm", "grad_norm", 4), *rates])
-    union = " UNION ALL ".join(f"SELECT * FROM m{k}" for k in range(1, updates + 1))
+    union = " UNION ALL ".join(f"SELECT * FROM m{k}" for k in range(1, updates + 1)) if updates else "FROM ms"
     return f"SELECT iteration::INTEGER AS iteration, {columns} FROM ({union})"
+
+
+def long_descent(source: str, columns: Sequence[str], alpha: str, lam: float, updates: int, eps: float) -> str:
+    """The same as a recursion: ``bs`` holds the weights after update k and the norm before it, until
+    ``updates`` or the first norm of at most ``eps``; ``ms`` loss and counts per update. Needs WITH RECURSIVE."""
+    width = range(len(columns) + 1)
+    xs = ["1.0::DOUBLE", *columns]
+    score = " + ".join(f"w{j} * {x}" for j, x in enumerate(xs))
+    weights = ", ".join(f"w{j}" for j in width)
+    sums = ", ".join(f"sum(slope * {x}) + 2 * {lam}::DOUBLE * any_value(w{j}) AS s{j}" for j, x in enumerate(xs))
+    steps = ", ".join(f"w{j} - ({alpha}) * s{j}" for j in width)
+    norm = " + ".join(f"s{j} * s{j}" for j in width)
+    cells = ", ".join(
+        f"1 + count(*) FILTER (WHERE part = '{p}' AND z {sign} 0 AND y = {y}) AS {p}_{cell}"
+        for p in ("train", "test")
+        for cell, sign, y in (("tp", ">", 1), ("fp", ">", -1), ("tn", "<", -1), ("fn", "<", 1))
+    )
+    size = " + ".join(f"w{j} * w{j}" for j in width)
+    return f"""bs(k, {weights}, norm) AS (SELECT 0, {", ".join("0.0::DOUBLE" for _ in width)}, NULL::DOUBLE
+  UNION ALL SELECT k + 1, {steps}, sqrt({norm}) FROM (
+    SELECT k, {", ".join(f"any_value(w{j}) AS w{j}" for j in width)}, {sums} FROM (
+      SELECT *, -y / (1 + exp(y * ({score}))) AS slope FROM {source}, bs
+      WHERE part = 'train' AND k < {updates} AND (norm IS NULL OR norm > {eps})) GROUP BY k)),
+ms AS (SELECT k AS iteration, any_value(norm) AS norm, sum(ln(1 + exp(-y * z))) FILTER (WHERE part = 'train')
+  + {lam}::DOUBLE * any_value({size}) AS loss, {cells} FROM (SELECT *, {score} AS z FROM {source}, bs WHERE k > 0) GROUP BY k)"""

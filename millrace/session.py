@@ -78,6 +78,13 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def keep_spread(df: DataFrame) -> DataFrame:
+    """The same, dealt out first where the rows lie in fewer partitions than the session has cores, as
+    after reading a small stored table: every pass would leave the other cores idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return keep(df if df.rdd.getNumPartitions() >= cores else df.repartition(cores))
+
+
 def dealt(df: DataFrame, keys, partitions: int | None) -> DataFrame:
     """``df`` dealt over ``partitions`` by its keys and sorted by them in each.
 

@@ -130,14 +130,32 @@ def test_array_features(spark):
         logistic.train(ragged, "v", "label", max_iter=3)
 
 
-def test_many_columns_take_the_arrow_path(spark):
-    width = logistic.WIDE + 5
-    df = spark.range(30).select((F.col("id") % 2).alias("label"), *[F.sin(F.col("id") * (j + 1)).alias(f"f{j}") for j in range(width)])
+def _hinge():
+    rest = lambda y, z: F.greatest(F.lit(1.0) - y * z, F.lit(0.0))
+    return logistic.Loss(lambda y, z: F.pow(rest(y, z), 2), lambda y, z: F.lit(-2.0) * y * rest(y, z))
+
+
+@pytest.mark.parametrize("width", [logistic.WIDE, logistic.WIDE + 1, 500])
+def test_a_loss_means_the_same_at_any_width(spark, width):
+    df = spark.range(40).select((F.col("id") % 2).alias("label"), (F.col("id") % 5 > 0).alias("tr"),
+                                *[F.sin(F.col("id") * (j + 1)).alias(f"f{j}") for j in range(width)])
     names = [f"f{j}" for j in range(width)]
-    assert logistic.prepare_rows(df, names, "label").wide
-    a = logistic.train(df, names, "label", max_iter=3, alpha=0.01)
-    b = logistic.train(df, names, "label", max_iter=3, alpha=0.01, wide=False)
-    assert len(a.beta) == width + 1 and a.beta == pytest.approx(b.beta)
+    assert logistic.prepare_rows(df, names, "label").wide == (width > logistic.WIDE)
+    beta = [0.1, *np.linspace(-0.2, 0.3, width)]
+    holed = df.withColumns({"f0": F.expr("CASE f1 > 0.9 WHEN true THEN double('NaN') ELSE f0 END"),
+                            "f2": F.expr("CASE WHEN f1 > -0.9 THEN f2 END"), "label": F.expr("CASE WHEN f1 < 0.8 THEN label END")})
+    for table in (df, holed):
+        passes = [logistic.run_pass(logistic.prepare_rows(table, names, "label", F.col("tr"), _hinge(), wide), beta) for wide in (False, True)]
+        assert passes[0].unscored == passes[1].unscored and (passes[0].unscored > 0) == (table is holed)
+        assert passes[0].loss == pytest.approx(passes[1].loss) and passes[0].gradient == pytest.approx(passes[1].gradient)
+        assert (passes[0].train, passes[0].test) == (passes[1].train, passes[1].test)
+
+
+def test_the_longest_array_gives_the_width(spark):
+    df = spark.createDataFrame([([1.0], 1), ([1.0, 2.0], 0), (None, 1)], "v array<double>, label int").coalesce(1)
+    rows = logistic.prepare_rows(df, "v", "label")
+    assert rows.width == 2 and logistic.run_pass(rows, [0.0] * 3).unscored == 2
+    assert logistic.prepare_rows(df.limit(0), "v", "label").width == 0
 
 
 def test_extreme_margins_do_not_overflow(spark):
@@ -165,7 +183,8 @@ def test_score_and_sign(spark):
         logistic.score(df, ["a"], [1.0])
 
 
-def test_diverged_weights_end_the_training(spark):
+@pytest.mark.parametrize("wide", [False, True])
+def test_diverged_weights_are_an_error(spark, wide):
     df = spark.createDataFrame([(1e200, 1), (-1e200, 0)], "f double, label int")
-    fit = logistic.train(df, ["f"], "label", lam=1.0, max_iter=20, alpha=1e200)
-    assert len(fit.history) < 19 and not math.isfinite(fit.history[-1][1])
+    with pytest.raises(ValueError, match="diverged at update"):
+        logistic.train(df, ["f"], "label", lam=1.0, max_iter=20, alpha=1e200, wide=wide)
