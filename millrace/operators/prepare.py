@@ -3,6 +3,7 @@ except one aggregate per fit and the optional de-duplication."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import number, shifted
+from millrace.operators.gather import column_moments
 
 
 def recode(df: DataFrame, column: str, values: Mapping[float, float]) -> DataFrame:
@@ -60,18 +62,21 @@ class Scaler:
 
 
 def fit_zscore(df: DataFrame, columns: Sequence[str]) -> Scaler:
-    """Mean and population deviation, in one aggregate.
+    """Mean and population deviation, in one reading, whatever the number of columns: tasks work them
+    out per Arrow batch and pack them into one row each.
 
     A constant column is shifted by its value and gets width 1, so it scales to 0. Constancy is
-    read off the extremes, which carry no rounding error.
+    read off the extremes, which carry no rounding error. A column without values scales to NULL.
     """
-    stats = _stats(df, columns, ("avg", "stddev_pop", "min", "max"))
-    return Scaler(
-        {
-            c: (low, 1.0) if low is not None and low == high else (mean, deviation)
-            for c, (mean, deviation, low, high) in stats.items()
-        }
-    )
+    found = column_moments(df, [number(c) for c in columns])
+    ranges: dict[str, tuple[float | None, float | None]] = {}
+    for i, c in enumerate(columns):
+        n, mean, m2, low, high = (float(found[k][i]) for k in ("n", "mean", "m2", "low", "high"))
+        if n == 0:
+            ranges[c] = (None, None)
+        else:
+            ranges[c] = (low, 1.0) if low == high else (mean, math.sqrt(m2 / n) if m2 >= 0 else math.nan)
+    return Scaler(ranges)
 
 
 def fit_minmax(df: DataFrame, columns: Sequence[str]) -> Scaler:

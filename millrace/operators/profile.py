@@ -1,20 +1,27 @@
-"""Data profile: first rows, value counts, column facts, histograms, correlations."""
+"""Data profile: first rows, value counts, column facts, histograms, correlations.
+
+Histograms and correlations take two readings of a table: means and extremes, then bin counts and
+products around the means. Tasks add both up per Arrow batch and pack them into one row each. A whole
+profile (``first_scan``, ``second_scan``) needs no more than these two either.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import NumericType
 
 from millrace.functions.expressions import number
-from millrace.operators.prepare import column_ranges
-
-PAIR_COLUMNS = 12  # 78 pair sums and 12 sums: below the 100 fields where code generation ends
+from millrace.operators.gather import column_moments, gather, matrix, merged_moments, moments_of, no_moments
 
 
 def head_rows(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
@@ -72,138 +79,178 @@ def _missing(column: str, kind: str) -> Column:
     return (gone | F.isnan(column)) if kind in ("double", "float") else gone
 
 
+# -- two readings -----------------------------------------------------------------------------
+
+
 def bin_edges(low: float, high: float, bins: int) -> list[float]:
     """Inner and outer edges of equal-width bins."""
     step = (high - low) / bins
     return [i * step + low for i in range(bins)] + [high]
 
 
-def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
-    """Rows per equal-width bin between the extremes of each (numeric) column; empty bins included.
+@dataclass
+class Scan:
+    """What the first reading of a table finds; moments are of the numeric columns, in table order."""
 
-    Bins are half open, the last one is closed. A constant column falls into its middle bin.
-    Two passes: extremes, then counts. In the second each row yields one small record per column,
-    combined in the map task, so at most ``columns x bins`` records per task are shuffled.
-    """
-    columns = numeric_columns(df) if columns is None else list(columns)
-    edges = {}
-    for c, (low, high) in column_ranges(df, columns).items():
-        if low is None:
-            continue
-        if not (math.isfinite(low) and math.isfinite(high)):
-            raise ValueError(f"column {c} holds an infinite value")
-        edges[c] = bin_edges(low, high, bins)
-    values = F.array(*[number(c) for c in columns])
-    counts = (
-        df.select(F.posexplode(values).alias("place", "x"))
-        .filter(F.col("x").isNotNull())
-        .select((F.col("place") * bins + _bin(columns, edges, bins)).alias("slot"))
-        .groupBy("slot")
-        .agg(F.count("*").alias("n"))
-    )
-    grid = df.sparkSession.createDataFrame(
-        [(j * bins + i, c, i + 1, *(edges[c][i : i + 2] if c in edges else (None, None)))
-         for j, c in enumerate(columns) for i in range(bins)],
-        "slot int, column string, bin int, low double, high double",
-    )
-    return grid.join(counts, "slot", "left").select(
-        "column", "bin", "low", "high", F.coalesce("n", F.lit(0).cast("long")).alias("n")
-    )
-
-
-def _bin(columns: Sequence[str], edges: dict[str, list[float]], bins: int) -> Column:
-    """Bin number from 0 of the value ``x`` of the column at ``place``.
-
-    The same short code serves all columns: limits are looked up by place. The bin is guessed by
-    division and corrected by comparing with the edges next to it, ``i * step + low``.
-    """
-    ends = [(edges[c][0], edges[c][-1]) if c in edges else (0.0, 0.0) for c in columns]
-    lows, highs, steps = (
-        F.array(*[F.lit(v) for v in row])[F.col("place")]
-        for row in ([e[0] for e in ends], [e[1] for e in ends], [(e[1] - e[0]) / bins for e in ends])
-    )
-    x = F.col("x")
-    guess = F.least(F.floor((x - lows) / F.nullif(highs - lows, F.lit(0.0)) * bins).cast("int"), F.lit(bins - 1))
-    below = x < guess * steps + lows
-    above = (guess < bins - 1) & (x >= (guess + 1) * steps + lows)
-    return F.when(highs > lows, guess - below.cast("int") + above.cast("int")).otherwise(bins // 2)
+    schema: T.StructType
+    n_rows: int
+    present: list[int]
+    numeric: list[str]
+    moments: dict
+    label_counts: dict
+    label: str
+    head: list[tuple]
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson r of every ordered pair of (numeric) columns, over the rows where both are present.
+def first_scan(df: DataFrame, label: str, keys: Sequence[str], n: int = 5) -> Scan:
+    """Row and value counts, moments, the counts of every label and the first rows in key order.
 
-    NULL where a side is constant. Two passes: means and counts, then sums of products around the
-    means, so that large offsets do not cancel. Few columns without gaps take one built-in sum per
-    pair. Otherwise that outgrows generated code, and each task adds up pair moments per Arrow
-    batch with matrix products and emits one row per pair.
+    The label should be one of few values: a state holds them all. Rows of equal keys come in any order.
     """
-    columns = numeric_columns(df) if columns is None else list(columns)
-    clean = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    width = range(len(columns))
-    few = len(columns) <= PAIR_COLUMNS
-    counts = [f"count(c{i}) AS count{i}" for i in width] if few else []
-    facts = clean.agg(*[F.expr(t) for t in ["count(*) AS n", *[f"avg(c{i}) AS avg{i}" for i in width], *counts]]).first()
-    means = [facts[f"avg{i}"] or 0.0 for i in width]
-    if few and all(facts[f"count{i}"] == facts["n"] for i in width):
-        sums = _pairs_builtin(clean, means, facts["n"])
-    else:
-        sums = _pairs_arrow(clean, means)
-    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
-    names = F.array(*[F.lit(c) for c in columns])
-    r = F.try_divide(n * F.col("ab") - sa * sb, _root(n * F.col("qa"), sa) * _root(n * F.col("qb"), sb))
-    mirrored = F.array(
-        F.struct(names[F.col("i")].alias("col_x"), names[F.col("j")].alias("col_y"), r.alias("r")),
-        F.struct(names[F.col("j")].alias("col_x"), names[F.col("i")].alias("col_y"), r.alias("r")),
-    )
-    return sums.select(F.inline(F.when(F.col("i") == F.col("j"), F.slice(mirrored, 1, 1)).otherwise(mirrored)))
-
-
-def _pairs_builtin(clean: DataFrame, means: list[float], n: int) -> DataFrame:
-    """Moments of every pair of columns that have no gaps."""
-    width = range(len(means))
-    pairs = [(i, j) for i in width for j in width if i <= j]
-    centred = clean.select(*[(F.col(f"c{i}") - F.lit(m)).alias(f"d{i}") for i, m in enumerate(means)])
-    # Texts, since many expressions built piece by piece cost a call to the JVM each.
-    products = [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
-    row = centred.agg(*[F.expr(t) for t in [*[f"sum(d{i}) AS s{i}" for i in width], *products]])
-    entries = [
-        f"struct({i} AS i, {j} AS j, {n}D AS n, s{i} AS sa, s{j} AS sb, "
-        f"p{i}_{i} AS qa, p{j}_{j} AS qb, p{i}_{j} AS ab)"
-        for i, j in pairs
-    ]
-    return row.selectExpr(f"inline(array({', '.join(entries)}))")
-
-
-def _pairs_arrow(clean: DataFrame, means: list[float]) -> DataFrame:
-    """Moments of every pair over the rows where both are present."""
-    width = len(means)
-    centre = np.array(means)
-    upper = np.triu_indices(width)
-
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((6, width, width))
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+    names, numeric = df.columns, numeric_columns(df)
+    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    width = len(numeric)
+    order = [(k, "ascending") for k in keys]
+
+    def start() -> dict:
+        return {"rows": 0, "present": np.zeros(len(names), np.int64), "labels": Counter(), "head": None, **no_moments(width)}
+
+    def first(rows: pa.Table) -> pa.Table:
+        return rows.take(pc.sort_indices(rows, order, null_placement="at_start")[:n]) if order else rows.slice(0, n)
+
+    def add(state: dict, batch: pa.RecordBatch) -> None:
+        x = np.full((batch.num_rows, width), np.nan)
+        for i, name in enumerate(numeric):
+            x[:, i] = batch.column(name).cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
+        gone = [batch.column(c).null_count for c in names]
+        for i, name in enumerate(names):
+            if name in floats:
+                gone[i] = int(np.isnan(x[:, numeric.index(name)]).sum())
+        state["rows"] += batch.num_rows
+        state["present"] = state["present"] + batch.num_rows - np.array(gone, np.int64)
+        for entry in pc.value_counts(batch.column(label)):
+            value = entry["values"].as_py()
+            if value is not None and value == value:
+                state["labels"][value] += entry["counts"].as_py()
+        rows = pa.Table.from_batches([batch])
+        state["head"] = first(rows if state["head"] is None else pa.concat_tables([state["head"], rows]))
+        state.update(merged_moments(state, moments_of(x)))
+
+    def merge(a: dict, b: dict) -> dict:
+        heads = [s["head"] for s in (a, b) if s["head"] is not None]
+        return {
+            "rows": a["rows"] + b["rows"], "present": a["present"] + b["present"], "labels": a["labels"] + b["labels"],
+            "head": first(pa.concat_tables(heads)) if heads else None, **merged_moments(a, b),
+        }
+
+    found = gather(df, start, add, merge)
+    moments = {k: found[k] for k in no_moments(0)}
+    head = [tuple(r.values()) for r in found["head"].to_pylist()] if found["head"] is not None else []
+    return Scan(df.schema, found["rows"], found["present"].tolist(), numeric, moments, dict(found["labels"]), label, head)
+
+
+@dataclass
+class Shapes:
+    """What the second reading finds: bin counts, and six sums for every pair of columns."""
+
+    columns: list[str]
+    edges: dict[str, list[float]]
+    counts: np.ndarray
+    sums: np.ndarray
+
+
+def second_scan(df: DataFrame, columns: Sequence[str], moments: dict, bins: int = 10, pairs: bool = True) -> Shapes:
+    """Bin counts between the extremes, and with ``pairs`` products around the means, of these columns."""
+    columns, width = list(columns), len(columns)
+    edges = {}
+    for c, low, high in zip(columns, moments["low"].tolist(), moments["high"].tolist(), strict=True):
+        if low <= high:
+            edges[c] = bin_edges(low, high, bins) if math.isfinite(low) and math.isfinite(high) else []
+    inner = [np.array(edges[c][1:-1]) if edges.get(c) else None for c in columns]
+    flat = [bool(edges.get(c)) and edges[c][0] == edges[c][-1] for c in columns]
+    centre = np.where(np.isfinite(moments["mean"]), moments["mean"], 0.0)
+
+    def start() -> dict:
+        return {"counts": np.zeros((width, bins), np.int64), "sums": np.zeros((6, width, width) if pairs else (0,))}
+
+    def add(state: dict, batch: pa.RecordBatch) -> None:
+        x = matrix(batch, width)
+        for i, cuts in enumerate(inner):
+            if cuts is not None:
+                own = x[:, i][~np.isnan(x[:, i])]
+                place = np.full(len(own), bins // 2) if flat[i] else np.searchsorted(cuts, own, "right")
+                state["counts"][i] += np.bincount(place, minlength=bins)
+        if pairs:
+            x -= centre
             here = ~np.isnan(x)
-            x = np.where(here, x, 0.0)
-            mask = here.astype("float64")
+            x[~here] = 0.0
+            mask, total = here.astype(np.float64), state["sums"]
             total[0] += mask.T @ mask
             total[1] += x.T @ mask
             total[3] += (x * x).T @ mask
             total[5] += x.T @ x
-        total[2], total[4] = total[1].T, total[3].T
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(upper[0].astype("int32")), pa.array(upper[1].astype("int32")),
-             *[pa.array(t[upper]) for t in total]],
-            names=["i", "j", "n", "sa", "sb", "qa", "qb", "ab"],
-        )
 
-    schema = "i int, j int, n double, sa double, sb double, qa double, qb double, ab double"
-    sums = [F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "ab")]
-    return clean.mapInArrow(moments, schema).groupBy("i", "j").agg(*sums)
+    def merge(a: dict, b: dict) -> dict:
+        return {k: a[k] + b[k] for k in a}
+
+    found = gather(df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)]), start, add, merge)
+    return Shapes(columns, edges, found["counts"], found["sums"])
+
 
+def _local(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
 
-def _root(squares: Column, total: Column) -> Column:
+
+def histogram_table(spark: SparkSession, shapes: Shapes, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column, bin, low, high, n``; a column that holds an infinite value has no bins and is an error."""
+    rows = []
+    for i, c in enumerate(shapes.columns):
+        if columns is not None and c not in columns:
+            continue
+        ends = shapes.edges.get(c)
+        if ends == []:
+            raise ValueError(f"column {c} holds an infinite value")
+        for k, n in enumerate(shapes.counts[i].tolist()):
+            rows.append((c, k + 1, *(ends[k : k + 2] if ends else (None, None)), n))
+    return _local(spark, rows, "column string, bin int, low double, high double, n long")
+
+
+def correlation_table(spark: SparkSession, shapes: Shapes, columns: Sequence[str] | None = None) -> DataFrame:
+    """``col_x, col_y, r`` of every ordered pair; NULL where a side is constant."""
+    n, sa, _, qa, _, ab = shapes.sums
+    sb, qb = sa.T, qa.T
+    with np.errstate(all="ignore"):
+        r = (n * ab - sa * sb) / (_root(n * qa, sa) * _root(n * qb, sb))
+    rows = [
+        (x, y, float(r[i, j]) if np.isfinite(r[i, j]) else None)
+        for i, x in enumerate(shapes.columns) for j, y in enumerate(shapes.columns)
+        if columns is None or (x in columns and y in columns)
+    ]
+    return _local(spark, rows, "col_x string, col_y string, r double")
+
+
+def _root(squares: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Scaled deviation; what is only rounding noise counts as none."""
     rest = squares - total * total
-    return F.when(rest > 1e-13 * squares, F.sqrt(rest)).otherwise(0.0)
+    return np.where(rest > 1e-13 * squares, np.sqrt(np.maximum(rest, 0.0)), 0.0)
+
+
+def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
+    """Rows per equal-width bin between the extremes of each (numeric) column; empty bins included.
+
+    Bins are half open, the last one is closed. A constant column falls into its middle bin, a column
+    without values has empty bins without edges.
+    """
+    columns = numeric_columns(df) if columns is None else list(columns)
+    moments = column_moments(df, [number(c) for c in columns])
+    return histogram_table(df.sparkSession, second_scan(df, columns, moments, bins, pairs=False))
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Pearson r of every ordered pair of (numeric) columns, over the rows where both are present.
+
+    NULL where a side is constant. Products are around the means, so that large offsets do not cancel.
+    """
+    columns = numeric_columns(df) if columns is None else list(columns)
+    moments = column_moments(df, [number(c) for c in columns])
+    return correlation_table(df.sparkSession, second_scan(df, columns, moments))

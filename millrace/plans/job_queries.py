@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import models, prepare
-from millrace.plans import jobs, profile_queries  # noqa: F401  (registers the SQL used below)
-from millrace.plans.registry import FF, FL, ORACLES, query, r, rounded
-from millrace.session import scratch_path
+from millrace.plans import jobs
+from millrace.plans.registry import FF, ORDER_FEATURES, query, r, rounded
+from millrace.session import freeze, scratch_path
 from millrace.sources import frames, readers, writers
-from millrace.sources.frames import LINE_FEATURES
 
 _SCALED = ["o_totalprice", "sum_qty", "avg_disc"]
 _STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED)
@@ -46,50 +45,84 @@ def train_table_job(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(readers.read_csv(spark, paths[2], table.columns, types=_KEY_TYPE), _SCALED)
 
 
-@query(f"WITH {_MERGED} SELECT o_orderkey, label, {_OUT} FROM ff, st")
+# Rows of the second table as they are, and its null flags as rows (column, flag).
+_FLAGS = " UNION ALL ".join(
+    f"SELECT NULL::BIGINT, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, '{c}', count(*) > count({c}) FROM hl"
+    for c in ["o_orderkey", "label", *_SCALED]
+)
+# Orders without lines have no quantity here.
+_HOLED = "hl AS (SELECT o_orderkey, label::DOUBLE AS label, o_totalprice, CASE WHEN n_lines > 0 THEN sum_qty END AS sum_qty, avg_disc FROM ff)"
+
+
+def _second_sql(stats: str) -> str:
+    return f"""WITH {stats} SELECT o_orderkey, label, {_OUT}, NULL AS "column", NULL AS has_null FROM hl, st UNION ALL {_FLAGS}"""
+
+
+def _second_table(spark: SparkSession, folder: str, scaler: prepare.Scaler | None) -> DataFrame:
+    """The scaled table, written and read back, and its null flags below it."""
+    held = F.when(F.col("n_lines") > 0, F.col("sum_qty"))
+    df = frames.order_frame(spark, folder).withColumns({"sum_qty": held, "label": F.col("label").cast("double")})
+    df = df.select("o_orderkey", "label", *_SCALED)
+    path = scratch_path(spark, "second")
+    _, flags = jobs.test_table(df, _SCALED, scaler, path)
+    table = readers.read_csv(spark, path, df.columns, types=_KEY_TYPE)
+    return rounded(prepare.merge_tables([table, flags]), _SCALED)
+
+
+@query(_second_sql(f"{_MERGED}, {_HOLED}"))
 def test_table_job(spark: SparkSession, folder: str) -> DataFrame:
     """The second table on the scale of the first."""
     _, scaler = jobs.train_table(*_tables(spark, folder), _SCALED, "label_012", "label")
-    second = frames.order_frame(spark, folder).select("o_orderkey", "label", *_SCALED)
-    return rounded(jobs.test_table(second, _SCALED, scaler)[0], _SCALED)
+    return _second_table(spark, folder, scaler)
 
 
 _OWN = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED)
 
 
-@query(f"WITH {FF}, st AS (SELECT {_OWN} FROM ff) SELECT o_orderkey, label, {_OUT} FROM ff, st")
+@query(_second_sql(f"{FF}, {_HOLED}, st AS (SELECT {_OWN} FROM hl)"))
 def test_table_own_scale(spark: SparkSession, folder: str) -> DataFrame:
     """The second table by its own statistics."""
-    second = frames.order_frame(spark, folder).select("o_orderkey", "label", *_SCALED)
-    return rounded(jobs.test_table(second, _SCALED)[0], _SCALED)
+    return _second_table(spark, folder, None)
 
 
-_SHOWN = ["label", *LINE_FEATURES]
+_HEAD = "SELECT row_number() OVER (ORDER BY o_orderkey) AS k, * FROM ff ORDER BY o_orderkey LIMIT 5"
+_LOOK = ["label", *ORDER_FEATURES]
+_LOOK_BINS = " UNION ALL ".join(
+    f"""SELECT '{fact}', '{c} ' || (1 + {" + ".join(f"({c} >= {i} * ((high - low) / 10) + low)::INTEGER" for i in range(1, 10))}), count(*)::DOUBLE
+FROM ff, (SELECT min({c}) AS low, max({c}) AS high FROM ff) GROUP BY ALL""" for c, fact in [("label", "label_histogram"), *[(c, "histogram") for c in ORDER_FEATURES]]
+)
 _FACTS = " UNION ALL ".join([
-    *[f"SELECT 'non_null' AS fact, '{c}' AS item, count({c})::DOUBLE AS value FROM fl" for c in _SHOWN],
-    *[f"SELECT 'has_null', '{c}', (count(*) > count({c}))::INTEGER::DOUBLE FROM fl" for c in _SHOWN],
-    "SELECT 'label_count', label::VARCHAR, count(*)::DOUBLE FROM fl GROUP BY label",
-    "SELECT 'histogram', \"column\" || ' ' || bin, n::DOUBLE FROM (" + ORACLES["histogram_all"] + ")",
-    *[f"SELECT 'correlation', '{a} {b}', round(corr({a}, {b}), 6) + 0.0::DOUBLE FROM fl" for a in _SHOWN for b in _SHOWN],
+    *[f"SELECT 'head' AS fact, k || ' {c}' AS item, round({c}, 6) + 0.0::DOUBLE AS value FROM ({_HEAD})" for c in ["o_orderkey", *_LOOK]],
+    *[f"SELECT 'non_null', '{c}', count({c})::DOUBLE FROM ff" for c in ["o_orderkey", *_LOOK]],
+    *[f"SELECT 'has_null', '{c}', (count(*) > count({c}))::INTEGER::DOUBLE FROM ff" for c in ["o_orderkey", *_LOOK]],
+    "SELECT 'label_count', label::VARCHAR, count(*)::DOUBLE FROM ff GROUP BY label",
+    _LOOK_BINS,
+    *[f"SELECT 'correlation', '{a} {b}', round(corr({a}, {b}), 6) + 0.0::DOUBLE FROM ff" for a in ORDER_FEATURES for b in ORDER_FEATURES],
 ])
 
 
-@query(f"WITH {FL} {_FACTS}")
+@query(f"WITH {FF} SELECT fact, item, value FROM ({_FACTS}) WHERE value IS NOT NULL")
 def profile_job(spark: SparkSession, folder: str) -> DataFrame:
-    """All profile tables of the line frame as (fact, item, value)."""
-    df = frames.line_frame(spark, folder)
-    shown = jobs.profile_tables(df, "label", _SHOWN, LINE_FEATURES)
+    """All seven profile tables of the order frame as (fact, item, value); bins without rows are left out."""
+    df = freeze(frames.order_frame(spark, folder))
+    shown = jobs.profile_tables(df, "label", ORDER_FEATURES, ["o_orderkey"])
 
     def facts(table: str, fact: str, item: Column, value: Column) -> DataFrame:
         return shown[table].select(F.lit(fact).alias("fact"), item.alias("item"), value.cast("double").alias("value"))
 
-    column = F.col("column")
+    column, place = F.col("column"), F.row_number().over(Window.orderBy("o_orderkey"))
+    head = shown["head"].withColumn("k", place)
+    named = [F.struct(F.concat_ws(" ", "k", F.lit(c)).alias("item"), F.round(F.col(c), 6).cast("double").alias("value")) for c in df.columns]
+    shown["head"] = head.select(F.inline(F.array(*named)))
+    bins = F.concat_ws(" ", column, "bin")
     return prepare.merge_tables([
+        facts("head", "head", F.col("item"), F.col("value") + 0.0),
         facts("profile", "non_null", column, F.col("non_null")),
         facts("null_flags", "has_null", column, F.col("has_null").cast("int")),
         facts("label_counts", "label_count", F.col("label").cast("string"), F.col("n")),
-        facts("histograms", "histogram", F.concat_ws(" ", column, "bin"), F.col("n")),
-        facts("correlation", "correlation", F.concat_ws(" ", "col_x", "col_y"), F.round("r", 6) + 0.0),
+        facts("label_histogram", "label_histogram", bins, F.col("n")).filter("value > 0"),
+        facts("histograms", "histogram", bins, F.col("n")).filter("value > 0"),
+        facts("correlation", "correlation", F.concat_ws(" ", "col_x", "col_y"), F.round("r", 6) + 0.0).filter("value IS NOT NULL"),
     ])
 
 

@@ -18,7 +18,7 @@ from millrace.functions.expressions import binary_label
 from millrace.operators import boosting, evaluate, logistic, models, prepare, profile, sampling
 from millrace.session import dealt
 from millrace.sources.readers import read_splits
-from millrace.sources.writers import write_coefficients, write_history, write_splits
+from millrace.sources.writers import write_coefficients, write_csv, write_history, write_splits
 
 
 # -- tables -------------------------------------------------------------------------------
@@ -36,26 +36,36 @@ def train_table(
 
 
 def test_table(
-    df: DataFrame, scaled: Sequence[str], scaler: prepare.Scaler | None = None
+    df: DataFrame, scaled: Sequence[str], scaler: prepare.Scaler | None = None, path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The scaled second table and its null flags.
+    """The scaled second table and its null flags; with a path the table is written there as CSV.
 
     Pass the train table's scaler; without one the table is scaled by its own statistics.
     """
     table = (scaler or prepare.fit_zscore(df, scaled)).transform(df)
+    if path is not None:
+        write_csv(table, path)
     return table, profile.null_flags(table)
 
 
 def profile_tables(df: DataFrame, label: str, columns: Sequence[str], keys: Sequence[str]) -> dict[str, DataFrame]:
-    """Everything a first look at a table shows, each as a small table."""
+    """Everything a first look at a table shows, each as a small table, from two readings of it."""
+    spark = df.sparkSession
+    scan = profile.first_scan(df, label, keys)
+    shown = list(dict.fromkeys([*columns, label]))
+    place = [scan.numeric.index(c) for c in shown]
+    shapes = profile.second_scan(df, shown, {k: v[place] for k, v in scan.moments.items()})
+    fields = list(scan.schema)
+    facts = [(f.name, f.dataType.simpleString(), n, scan.n_rows) for f, n in zip(fields, scan.present, strict=True)]
+    kind = scan.schema[label].dataType.simpleString()
     return {
-        "head": profile.head_rows(df, keys),
-        "profile": profile.table_profile(df),
-        "label_counts": profile.value_counts(df, label),
-        "label_histogram": profile.histogram(df, [label]),
-        "histograms": profile.histogram(df, columns),
-        "null_flags": profile.null_flags(df),
-        "correlation": profile.correlation_matrix(df, columns),
+        "head": spark.createDataFrame(scan.head, scan.schema),
+        "profile": spark.createDataFrame(facts, "column string, type string, non_null long, n_rows long"),
+        "label_counts": spark.createDataFrame(list(scan.label_counts.items()), f"`{label}` {kind}, n long").orderBy(F.desc("n"), F.asc(label)),
+        "label_histogram": profile.histogram_table(spark, shapes, [label]),
+        "histograms": profile.histogram_table(spark, shapes, columns),
+        "null_flags": spark.createDataFrame([(c, n < rows) for c, _, n, rows in facts], "column string, has_null boolean"),
+        "correlation": profile.correlation_table(spark, shapes, columns),
     }
 
 

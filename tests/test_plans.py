@@ -30,8 +30,6 @@ def test_splits_scale_and_score_move_no_rows(orders):
         sampling.split_exact(orders, key),
         sampling.split_three_way(orders, key),
         sampling.split_hash(orders, key),
-        sampling.oversample(orders, "label", key),
-        sampling.oversample(sampling.split_exact(orders, key), "label", key, within=F.col("part") == "train"),
         prepare.fit_zscore(orders, ["o_totalprice"]).transform(orders),
         logistic.score(orders, ["o_totalprice"], [0.1, 0.2]),
     ):
@@ -39,6 +37,43 @@ def test_splits_scale_and_score_move_no_rows(orders):
         assert _exchanges(plan) == 0 and plan.count("FileScan") == 1
 
 
+def test_balancing_deals_out_the_minority_only(orders):
+    split = sampling.split_exact(orders, ["o_orderkey"])
+    for df in (
+        sampling.oversample(orders, "label", ["o_orderkey"]),
+        sampling.oversample(split, "label", ["o_orderkey"], within=F.col("part") == "train"),
+    ):
+        plan = _plan(df)
+        assert _exchanges(plan) == 1 and plan.count("FileScan") == 2
+        assert re.search(r"Exchange hashpartitioning.*\n(.*\n)*?.*Filter.*= 1", plan)
+
+
+def test_a_profile_is_two_readings(spark, folder, monkeypatch):
+    from millrace.operators import gather
+    from millrace.plans import jobs
+
+    calls = []
+    real = gather.gather
+    for module in (gather, profile):
+        monkeypatch.setattr(module, "gather", lambda df, *rest: calls.append(_plan(df).count("FileScan")) or real(df, *rest))
+    lines = frames.table(spark, folder, "lineitem").select("l_orderkey", *frames.LINE_FEATURES)
+    shown = jobs.profile_tables(lines, "l_tax", frames.LINE_FEATURES, ["l_orderkey"])
+    assert calls == [1, 1] and len(shown) == 7
+    assert all("FileScan" not in _plan(df) for df in shown.values())
+
+
+def test_many_columns_are_scaled_in_one_reading(spark, folder, monkeypatch):
+    from millrace.operators import gather
+
+    plans = []
+    real = gather.gather
+    monkeypatch.setattr(gather, "gather", lambda df, *rest: plans.append(_plan(df)) or real(df, *rest))
+    lines = frames.line_frame(spark, folder)
+    many = lines.select([(F.col("l_quantity") * i).alias(f"c{i}") for i in range(21)])
+    prepare.fit_zscore(many, many.columns)
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1 and "Exchange" not in plans[0] and "Aggregate" not in plans[0]
+
+
 def test_counting_passes_read_the_key_only(orders, monkeypatch):
     seen = []
     real = sampling._prefix_counts
@@ -57,7 +92,6 @@ def test_aggregates_combine_before_the_shuffle(orders, spark, folder):
     scored = logistic.score(lines, frames.LINE_FEATURES, [0.1] * 5)
     for df in (
         evaluate.confusion_counts(scored),
-        profile.histogram(lines, frames.LINE_FEATURES),
         profile.value_counts(orders, "label"),
         logistic.confusion(scored, "label"),
     ):
@@ -71,15 +105,9 @@ def test_metrics_scan_the_table_once(spark, folder):
         assert _plan(df).count("FileScan") == 1
 
 
-def test_correlations_and_profiles_scan_the_table_once(spark, folder):
+def test_facts_scan_the_table_once(spark, folder):
     lines = frames.line_frame(spark, folder)
-    many = lines.select("*", *[(F.col("l_tax") * i + F.col("l_quantity")).alias(f"t{i}") for i in range(12)])
-    for df in (
-        profile.correlation_matrix(lines, frames.LINE_FEATURES),
-        profile.correlation_matrix(many, many.columns),
-        profile.table_profile(lines),
-        profile.null_flags(lines),
-    ):
+    for df in (profile.table_profile(lines), profile.null_flags(lines)):
         assert _plan(df).count("FileScan") == 1
 
 
@@ -100,7 +128,7 @@ def test_a_pass_is_one_generated_stage(spark, folder):
     assert tree.count("HashAggregate") == 2 and _exchanges(tree) == 1 and "ObjectHashAggregate" not in tree
 
 
-FEW = ["split_exact", "oversample", "histogram_all", "correlation_matrix", "metrics_by_part", "zscore_from_train",
+FEW = ["split_exact", "oversample", "metrics_by_part", "zscore_from_train",
        "join_features_labels", "complement_by_key", "weighted_metrics", "shuffle_rows", "merge_by_name", "profile_job"]
 
 
