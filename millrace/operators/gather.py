@@ -23,13 +23,14 @@ def gather(
     df: DataFrame, start: Callable[[], dict], add: Callable[[dict, pa.RecordBatch], None], merge: Callable[[dict, dict], dict]
 ) -> dict:
     """The state of the whole table; that of no rows for an empty one."""
+    slots = GROUPS if df.rdd.getNumPartitions() > GROUPS else 1
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start()
         for batch in batches:
             add(state, batch)
         context = TaskContext.get()
-        slot = (context.partitionId() if context else 0) % GROUPS
+        slot = (context.partitionId() if context else 0) % slots
         yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([pickle.dumps(state)])], names=["slot", "state"])
 
     def merged(rows: pa.Table) -> pa.Table:
@@ -38,9 +39,9 @@ def gather(
             state = merge(state, pickle.loads(packed.as_py()))
         return pa.table({"slot": pa.array([0], pa.int32()), "state": pa.array([pickle.dumps(state)])})
 
-    # Merged states all have slot 0, so the second grouping is the last.
     tree = df.mapInArrow(summed, _PACKED).groupBy("slot").applyInArrow(merged, _PACKED)
-    tree = tree.groupBy("slot").applyInArrow(merged, _PACKED)
+    if slots > 1:  # merged states all have slot 0
+        tree = tree.groupBy("slot").applyInArrow(merged, _PACKED)
     found = tree.select("state").collect()
     return pickle.loads(found[0]["state"]) if found else start()
 

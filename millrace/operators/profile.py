@@ -22,6 +22,7 @@ from pyspark.sql.types import NumericType
 
 from millrace.functions.expressions import number
 from millrace.operators.gather import column_moments, gather, matrix, merged_moments, moments_of, no_moments
+from millrace.operators.prepare import column_ranges
 
 
 def head_rows(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
@@ -242,8 +243,10 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 1
     without values has empty bins without edges.
     """
     columns = numeric_columns(df) if columns is None else list(columns)
-    moments = column_moments(df, [number(c) for c in columns])
-    return histogram_table(df.sparkSession, second_scan(df, columns, moments, bins, pairs=False))
+    ends = [(math.inf, -math.inf) if low is None else (low, high) for low, high in column_ranges(df, columns).values()]
+    low, high = np.array(ends).reshape(-1, 2).T
+    extremes = {"low": low, "high": high, "mean": np.zeros(len(columns))}
+    return histogram_table(df.sparkSession, second_scan(df, columns, extremes, bins, pairs=False))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

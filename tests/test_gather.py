@@ -10,7 +10,7 @@ from millrace.plans import jobs
 
 
 @pytest.mark.parametrize("offset", [0.0, 1e9])
-@pytest.mark.parametrize("parts", [1, 9])
+@pytest.mark.parametrize("parts", [1, 9, 150])
 def test_moments_far_from_zero_with_gaps(spark, offset, parts):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(500, 4)) + offset
