@@ -7,6 +7,9 @@ with its item by words, so edited, reordered and padded copies get a score as we
 
 Rareness is relative to the item: an item copied into very many documents makes all of its n-grams
 frequent, and keeps its seeds.
+
+The texts are read once per block: the first pass keeps the documents that hold any n-gram of the
+block, and the second works on these alone.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import filled, utf8, word_blocks
+from millrace.llm.text import discard, filled, stored, utf8, word_blocks
 
 NGRAM = 3
 RARE = 4  # a seed is in at most so many times the documents of its item's median n-gram
@@ -29,6 +32,7 @@ SLACK = 0.5  # of the item's length, on either side of where the seed puts it
 BLOCK_CHARS = 16_000_000
 KEPT = 1 << 18
 TOGETHER = 256  # alignments done at once
+SPREAD = np.int64(0x2545F4914F6CDD1D)  # an odd number for n-gram hashes
 
 _INNER = re.compile(r"[^\W_]+(?:['’\-][^\W_]+)*")
 
@@ -51,9 +55,11 @@ class Items:
     gram_offset: np.ndarray
 
     def code(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the word numbers; n-grams that fall together give seeds that align badly."""
         found = np.zeros(len(at), np.int64)
         for k in range(NGRAM):
-            found = found * (len(self.numbers) + 1) + words[at + k]
+            found = (found + words[at + k]) * SPREAD
+            found ^= found >> 29
         return found
 
 
@@ -63,8 +69,6 @@ def index_items(ids: list, texts: list[str]) -> Items:
     for text in texts:
         parts = [p for w in (text or "").encode().split() for p in plain(w)]
         words.append(np.asarray([numbers.setdefault(p, len(numbers) + 1) for p in parts], np.int64))
-    if len(numbers) >= 1 << 20:
-        raise ValueError("too many different words in one block of items")  # 3 * 20 bits fill a code
     empty = Items(ids, words, numbers, *[np.empty(0, np.int64)] * 4)
     starts = [np.arange(max(len(w) - NGRAM + 1, 0)) for w in words]
     all_codes = [empty.code(w, s) for w, s in zip(words, starts, strict=True)]
@@ -182,7 +186,7 @@ def passages_of(items: Items, seeds: dict[int, list[tuple[int, int]]], at, codes
             start, end = max(position - offset - slack, 0), min(position - offset + size + slack, length)
             own = found.setdefault(item, [])
             if own and start <= own[-1][1] - size // 2 and end - own[-1][0] <= 4 * size + 4 * slack:
-                own[-1][1] = max(own[-1][1], end)
+                own[-1] = [min(own[-1][0], start), max(own[-1][1], end)]
             elif not own or end > own[-1][1]:
                 own.append([start, end])
     return [(item, a, b) for item, own in found.items() for a, b in own]
@@ -193,9 +197,11 @@ _FOUND = "array<struct<item: int, score: double, from_word: int, to_word: int>>"
 
 def _aligned(sent, threshold: float):
     @F.arrow_udf(_FOUND)
-    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def search(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         items, chosen = Items(*sent.value[0]), sent.value[1]
         reader, seeds = Reader(items), {}
+        is_seed = np.zeros(len(items.codes), bool)
+        is_seed[items.gram_code[chosen]] = True
         for item, code, offset in zip(
             items.gram_item[chosen].tolist(), items.gram_code[chosen].tolist(), items.gram_offset[chosen].tolist(),
             strict=True,
@@ -218,10 +224,12 @@ def _aligned(sent, threshold: float):
                     found[row].append((item, float(best[k] / full[k]), stop - n, stop))
             waiting.clear()
 
-        for texts in batches:
+        for texts, held in batches:
             found: list[list] = [[] for _ in range(len(texts))]
             waiting: list = []
-            for row, data in enumerate(utf8(texts)):
+            for row, (data, own) in enumerate(zip(utf8(texts), held, strict=True)):
+                if not is_seed[own.values.to_numpy()].any():
+                    continue
                 words = reader.numbers(data)
                 at, codes = reader.hits(words)
                 for item, a, b in passages_of(items, seeds, at, codes, len(words)):
@@ -273,14 +281,16 @@ def contaminated(
         rows = block.orderBy("id", "text").collect()  # bounded by block_chars
         index = index_items([r.id for r in rows], [r.text for r in rows])
         sent = spark.sparkContext.broadcast(astuple(index))  # plain values: tasks need no class to load them
-        counted = named.select(F.explode(_held(sent)("_text")).alias("code")).groupBy("code").count()
-        documents = np.zeros(len(index.codes), np.int64)
-        for row in counted.collect():  # one row per n-gram of the block
-            documents[row["code"]] = row["count"]
+        # The only reading of all texts; those that hold no n-gram of the block are left behind.
+        near = stored(named.withColumn("_held", _held(sent)("_text")).filter(F.size("_held") > 0))
+        counted = near.select(F.explode("_held").alias("code")).groupBy("code").count().toArrow()
+        documents = np.zeros(len(index.codes), np.int64)  # one number per n-gram of the block
+        documents[counted["code"].to_numpy()] = counted["count"].to_numpy()
         seeded = spark.sparkContext.broadcast((astuple(index), rare_seeds(index, documents)))
-        found = named.select("_key", F.explode(_aligned(seeded, threshold)("_text")).alias("f"))
+        found = near.select("_key", F.explode(_aligned(seeded, threshold)("_text", "_held")).alias("f"))
         names = spark.createDataFrame(list(enumerate(index.ids)), f"item int, id {items.schema[item_key].dataType.simpleString()}")
-        results.append(found.select("_key", "f.*").join(F.broadcast(names), "item"))
+        results.append(stored(found.select("_key", "f.*").join(F.broadcast(names), "item")))
+        discard(near)
     joined = results[0]
     for more in results[1:]:
         joined = joined.union(more)

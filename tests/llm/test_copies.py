@@ -299,3 +299,15 @@ def test_line_stage_of_the_pipeline_keeps_what_is_left(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source", "0L AS n_chars")
     found = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert found == {1: (shared, len(shared)), 2: (own, len(own))}
+
+
+def test_a_passage_reaches_back_to_the_earliest_place_its_hits_ask_for():
+    items = decontaminate.index_items([1], ["one two three four five six seven eight nine ten"])
+    seeds = {int(c): [(0, int(o))] for c, o in zip(items.gram_code, items.gram_offset, strict=True)}
+    late = decontaminate.Reader(items)
+    words = late.numbers(b"x x x x x x x x x x x x one two three x x x six seven eight nine ten x x")
+    at, codes = late.hits(words)
+    order = list(zip(at.tolist(), codes.tolist(), strict=True))[::-1]  # the last hit first
+    found = decontaminate.passages_of(items, seeds, np.array([a for a, _ in order]), np.array([c for _, c in order]), len(words))
+    starts = [max(a - o - 8, 0) for a, c in order for _, o in seeds[c]]
+    assert len(found) == 1 and found[0][1] == min(starts)
