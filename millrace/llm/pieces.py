@@ -105,6 +105,24 @@ def load(model: bytes, alpha: float) -> Vocabulary:
 # -- forward filtering --------------------------------------------------------------------
 
 
+class Growing:
+    """An array that doubles its room when it is full, so that adding to it copies little."""
+
+    def __init__(self, kind: type):
+        self.held, self.size = np.empty(1 << 10, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.held):
+            self.held = np.concatenate([self.held[: self.size], np.empty(max(end, 2 * self.size) - self.size, self.held.dtype)])
+        self.held[self.size : end] = values
+        self.size = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.held[: self.size]
+
+
 class Lattices(dict):
     """Numbers words as they come and holds the lattices of all of them in one set of arrays.
 
@@ -118,8 +136,9 @@ class Lattices(dict):
         super().__init__()
         self.v = v
         self.words: list[str] = []
-        self.first, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.reach, self.length, self.number = np.empty(0), np.empty(0, np.int8), np.empty(0, np.int32)
+        self.first, self.sizes = Growing(np.int64), Growing(np.int64)
+        self.reach, self.length, self.number = Growing(np.float64), Growing(np.int8), Growing(np.int32)
+        self.edge = Growing(np.int32)  # the first edge into each node
         self.nodes = 0
 
     def __missing__(self, key) -> int:
@@ -129,8 +148,8 @@ class Lattices(dict):
 
     def build(self) -> None:
         """Lattices for the words that came since the last call."""
-        while len(self.sizes) < len(self.words):
-            self._build(self.words[len(self.sizes) :][:TOGETHER])
+        while self.sizes.size < len(self.words):
+            self._build(self.words[self.sizes.size : self.sizes.size + TOGETHER])
 
     def _build(self, words: list[str]) -> None:
         """Lattices of some words, all of them together.
@@ -198,12 +217,15 @@ class Lattices(dict):
         reach = np.minimum(np.rint(share * (1 << DRAW_BITS)) / (1 << DRAW_BITS), 1.0)
         reach[np.concatenate([opens[1:], [True]])] = 1.0
         reach += into + self.nodes
-        self.first = np.concatenate([self.first, first + self.nodes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.reach = np.concatenate([self.reach, reach])
-        self.length = np.concatenate([self.length, (into - out).astype(np.int8)])
+        edge = np.zeros(len(total), np.int64)
+        edge[into[opens]] = np.flatnonzero(opens) + self.reach.size
+        self.edge.add(edge)
+        self.first.add(first + self.nodes)
+        self.sizes.add(sizes)
+        self.reach.add(reach)
+        self.length.add(into - out)
+        self.number.add(number)
         self.nodes += len(total)
-        self.number = np.concatenate([self.number, number.astype(np.int32)])
 
 
 # -- backward sampling --------------------------------------------------------------------
@@ -216,15 +238,15 @@ def sample(lattices: Lattices, word: np.ndarray, stream: np.ndarray) -> tuple[np
     ``end`` characters they reach, and the number of pieces of each occurrence.
     """
     lattices.build()
-    reach, length, number = lattices.reach, lattices.length, lattices.number
-    first = lattices.first[word]
-    at = first + lattices.sizes[word]
+    reach, length, number, edge = (g.values for g in (lattices.reach, lattices.length, lattices.number, lattices.edge))
+    first = lattices.first.values[word]
+    at = first + lattices.sizes.values[word]
     active, steps = np.arange(len(word)), []
     counts = np.zeros(len(word), np.int64)
     while len(active):
         bits = mixed(stream[active] + np.uint64((len(steps) + 1) * STEP % (1 << 64))) >> np.uint64(64 - DRAW_BITS)
         nodes = at[active]
-        chosen = np.searchsorted(reach, nodes + (bits.astype(np.float64) + 0.5) / (1 << DRAW_BITS), side="left")
+        chosen = _first_reaching(reach, edge[nodes], nodes + (bits.astype(np.float64) + 0.5) / (1 << DRAW_BITS))
         steps.append((active, chosen, (nodes - first[active]).astype(np.int32)))
         counts[active] += 1
         nodes = nodes - length[chosen]
@@ -238,6 +260,17 @@ def sample(lattices: Lattices, word: np.ndarray, stream: np.ndarray) -> tuple[np
     return pieces, ends, counts
 
 
+def _first_reaching(reach: np.ndarray, edge: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+    """The first edge, from ``edge`` on, whose reach is not below what was drawn. Nodes have few edges, so
+    walking along them beats a search of all edges."""
+    chosen = edge.astype(np.int64)
+    left = np.flatnonzero(reach[chosen] < drawn)
+    while len(left):
+        chosen[left] += 1
+        left = left[reach[chosen[left]] < drawn[left]]
+    return chosen
+
+
 class Sampler:
     """Encodes and decodes texts with one vocabulary."""
 
@@ -251,7 +284,7 @@ class Sampler:
         parts: list[list[np.ndarray]] = [[] for _ in texts]
         held, size = [], 0
         for row, (key, text) in enumerate(zip(keys, texts, strict=True)):
-            digest = hashlib.blake2b(f"{self.seed}:{key}".encode(), digest_size=8).digest()
+            digest = hashlib.blake2b((f"{self.seed}:{key}" if key is not None else f"{self.seed}").encode(), digest_size=8).digest()
             stream, number = np.uint64(int.from_bytes(digest)), 0
             for words in _between_spaces(text):
                 ids = np.fromiter(map(self.lattices.__getitem__, words), np.int64, len(words))
