@@ -53,7 +53,20 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", language_model.held_out(F.col("doc_id")))
 
 
-@query()
+@query("""
+    WITH texts AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (SELECT r, doc_id, i, list_slice(w, i + 1, i + 13) AS run FROM (
+        SELECT r, doc_id, w, unnest(range(len(w) - 12)) AS i FROM texts)),
+    later AS (SELECT r, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY run)),
+    gone AS (SELECT DISTINCT r, i + k AS j FROM later, range(13) t(k)),
+    marked AS (SELECT r, list(j) AS js FROM gone GROUP BY r),
+    kept AS (
+        SELECT t.r, list(x ORDER BY j) AS ws FROM (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS j FROM texts) t
+        ANTI JOIN gone USING (r, j) GROUP BY t.r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+        sha256(coalesce(array_to_string(ws, ' '), '')) AS kept_sha256
+    FROM texts LEFT JOIN marked USING (r) LEFT JOIN kept USING (r)""")
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = substrings.remove_repeats(docs, "doc_id", window=13)
