@@ -30,6 +30,7 @@ LATIN = re.compile(
 )
 # Other words, and the one below whose lower case leaves the range, take the library's own steps.
 OTHER = re.compile(r"[^\t-\r ]*[^\x00-\u012f\u0131-\u017f][^\t-\r ]*")
+WORD = re.compile(r"[^\t-\r ]+")  # every word, for files that split otherwise
 
 
 def _byte_letters() -> list[str]:
@@ -61,13 +62,39 @@ def whole_tokens(spec: str) -> frozenset[str]:
             text = bytes(LETTER_BYTES[c] for c in letters).decode()
         except UnicodeDecodeError:
             continue
-        if [x.id for x in tokenizer.model.tokenize(letters)] == [number] and [
-            p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))
-        ] == [letters]:
+        normal = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        alone = [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)] == [letters]
+        if alone and [x.id for x in tokenizer.model.tokenize(letters)] == [number]:
             whole.add(text)
     return frozenset(whole)
 
 
+def _probes() -> Iterator[str]:
+    """Texts without white space that show how a file splits: every character below U+0180 between
+    letters, digits, marks and itself, and the endings that the pattern names."""
+    kinds = ("", "a", "Z", "7", ".", "é")
+    shown = [chr(c) for c in range(33, 0x180) if not chr(c).isspace() and not OTHER.fullmatch(chr(c))]
+    for c in shown:
+        yield from (f"{left}{c}{c}{right}" for left in kinds for right in kinds)
+    yield from (f"a'{end}{more}" for end in ("s", "t", "re", "ve", "m", "ll", "d", "x", "S", "RE") for more in ("", "a", "7", "'s"))
+    yield from ("12345", "a1b22", "''s", "...a", "CamelCase", "x" * 300, "1" * 300)
+
+
+@lru_cache(maxsize=4)
+def splits_as_built_in(spec: str) -> bool:
+    """Whether the file normalises and splits the probes as ``LATIN`` and lower-casing do.
+
+    Any file that does not is counted by the library's own steps, word by word.
+    """
+    tokenizer = Tokenizer.from_str(spec)
+    for text in _probes():
+        normal = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        pieces = [bytes(LETTER_BYTES.get(c, 0) for c in p).decode(errors="replace") for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        if pieces != LATIN.findall(text.lower()):
+            return False
+    return True
+
+
 class PieceCosts(dict):
     """Tokens per pre-token: the whole ones from the start, the others as they are merged."""
 
@@ -92,22 +119,25 @@ class Counter:
     looks beyond it; so the count of a text is the sum over its parts, however it is cut there.
     """
 
-    def __init__(self, spec: str, whole: frozenset[str]):
+    def __init__(self, spec: str, whole: frozenset[str], built_in: bool | None = None):
         self.tokenizer = Tokenizer.from_str(spec)
+        known = splits_as_built_in(spec) if built_in is None else built_in
+        self.others = OTHER if known else WORD
         self.costs = PieceCosts(self.tokenizer, whole)
         special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.special = re.compile("|".join(map(re.escape, special)))
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
 
     def count(self, text: str) -> int:
         parts = self.special.split(text)
         return len(parts) - 1 + sum(self._count(b) for part in parts for b in blocks(part))
 
     def _count(self, text: str) -> int:
-        total, others = 0, OTHER.findall(text)
+        total, others = 0, self.others.findall(text)
         if others:
-            text = OTHER.sub(" ", text)
+            text = self.others.sub(" ", text)
+            normalizer = self.tokenizer.normalizer
             for word in others:
-                normal = self.tokenizer.normalizer.normalize_str(word)
+                normal = normalizer.normalize_str(word) if normalizer else word
                 for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
                     total += self.costs[bytes(LETTER_BYTES[c] for c in piece).decode()]
         return total + sum(map(self.costs.__getitem__, LATIN.findall(text.lower())))
@@ -117,12 +147,13 @@ def token_count(spark, path: str, text: str | Column) -> Column:
     """The number of tokens of a text column, without begin or end tokens; NULL counts as empty.
 
     ``path`` names a ``tokenizers`` file whose splitting drops white space. The file (a few MB) and
-    the whole tokens are sent to the tasks. Strings of special tokens inside a text are those tokens.
+    the whole tokens are sent to the tasks. Files that normalise or split otherwise than the word
+    vocabulary take the library's own steps for every word. Strings of special tokens inside a text are those tokens.
     """
     spec = read_file(path).decode()
     if ["a"] != [p for p, _ in Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str(" a ")]:
         raise ValueError("the tokenizer keeps white space in its pre-tokens")
-    sent = spark.sparkContext.broadcast((spec, whole_tokens(spec)))
+    sent = spark.sparkContext.broadcast((spec, whole_tokens(spec), splits_as_built_in(spec)))
 
     @F.arrow_udf("bigint")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -1,6 +1,7 @@
 """Token counts, pieces, quality rules, substrings and language model against plain versions."""
 
 import collections
+import json
 import math
 
 import numpy as np
@@ -30,6 +31,23 @@ def test_token_counts_are_the_librarys(spark):
     assert order(map(tuple, found.collect())) == order(expected)
 
 
+def test_files_that_split_otherwise_take_the_librarys_steps():
+    spec = json.loads(Tokenizer.from_file(WORDS).to_str())
+    texts = [t or "" for _, t in TEXTS] + ["In 2024 there were 1234567 of 12 THINGS", "McDonald's DON'T <|endoftext|> x"]
+    digits, cased, bare = (json.loads(json.dumps(spec)) for _ in range(3))
+    split = digits["pre_tokenizer"]["pretokenizers"][0]["pattern"]
+    split["Regex"] = split["Regex"].replace(r"|[\p{N}]|", r"|[\p{N}]+|")
+    cased["normalizer"] = {"type": "NFC"}
+    bare["added_tokens"], bare["normalizer"] = [], None
+    assert token_counts.splits_as_built_in(json.dumps(spec))
+    for changed in (digits, cased, bare):
+        made = json.dumps(changed)
+        assert not token_counts.splits_as_built_in(made)
+        tokenizer = Tokenizer.from_str(made)
+        counter = token_counts.Counter(made, token_counts.whole_tokens(made))
+        assert [counter.count(t) for t in texts] == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_every_low_character_is_split_as_the_library_does():
     tokenizer = Tokenizer.from_file(WORDS)
     counter = token_counts.Counter(tokenizer.to_str(), token_counts.whole_tokens(tokenizer.to_str()))
