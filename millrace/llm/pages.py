@@ -7,8 +7,13 @@ blocks of text below the node; a block spread evenly over all pages counts nothi
 single page counts fully. Branches of low importance are removed from each page, besides those whose
 tags, roles or names declare them to be something else than text.
 
-A tree is kept as rows (host, path, signature) and never in one place; what a page needs of it is the
-short list of its host's unimportant paths.
+The tree also tells where the text stands: the mass of a node is the characters below it per page, each
+block weighed by its content importance. From the root down, the child that holds nearly all the mass of
+its parent is followed, so that short unique texts beside the article (adverts, link lists) stay out
+whatever their elements are called.
+
+A tree is kept as rows (host, path, signature) and never in one place; what a page needs of it are the
+short lists of its host's unimportant and of its main paths.
 """
 
 from __future__ import annotations
@@ -22,12 +27,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import filled, stored, strings, unused
+from millrace.llm.text import discard, filled, stored, strings, unused
 
 PRESENTATION = 0.3  # weight of presentation against content
 LEAST = 0.3  # nodes below this importance go
 SHARE = 0.2  # of the host's pages that must hold a node before it is judged
 PAGES = 3  # fewer pages of a host say nothing
+MAIN = 0.75  # of the mass of its parent that a main node holds
 
 # Elements by what HTML makes of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,12 +77,14 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "other", "low", "article", "children", "blocks")
+    __slots__ = ("tag", "path", "other", "low", "article", "level", "open", "children", "blocks")
 
-    def __init__(self, tag: str, path: int, other: bool = False, low: bool = False, article: bool = False):
+    def __init__(self, tag: str, path: int, other: bool, low: bool, article: bool, level: int, main: bool):
         self.tag, self.path, self.other, self.low, self.article = tag, path, other, low, article
+        self.level = level  # of the innermost main node around
+        self.open = main  # whether main nodes may lie directly below
         self.children: list[str] = []
-        self.blocks: list[int] = []
+        self.blocks: list[tuple[int, int]] = []
 
 
 def _declared(tag: str, attributes: str, article: bool) -> tuple[bool, str]:
@@ -99,15 +107,18 @@ def _declared(tag: str, attributes: str, article: bool) -> tuple[bool, str]:
 
 
 class Page:
-    """One pass over a page: texts of its blocks, and if wanted the rows of its style tree."""
+    """One pass over a page: texts of its blocks, and if wanted the rows of its style tree.
+
+    A row is a path, 0 and the hash of a layout, and the path of the parent; or a path, 1 and the hash of
+    a block below it, and the block's characters (0 if declared to be no text).
+    """
 
-    def __init__(self, html: str, low: frozenset[int] = frozenset(), collect: bool = False):
-        self.low, self.collect = low, collect
-        self.stack = [Element("", 0)]
-        self.body: list[str] = []
-        self.article: list[str] = []
+    def __init__(self, html: str, low: frozenset[int] = frozenset(), main: frozenset[int] = frozenset(), collect: bool = False):
+        self.low, self.main, self.collect = low, main, collect
+        self.stack = [Element("", 0, False, False, False, 0, True)]
+        self.kept: list[tuple[int, bool, str]] = []  # level, whether in an article, text
         self.run: list[str] = []  # text of the open block
-        self.rows: set[tuple[int, int, int]] = set()
+        self.rows: dict[tuple[int, int, int], int] = {}
         self._read(html)
 
     def _read(self, html: str) -> None:
@@ -137,6 +148,8 @@ class Page:
         self._flush()
         while len(self.stack) > 1:
             self._pop()
+        if self.collect:
+            self._note(self.stack[0], 0)
 
     def _text(self, text: str) -> None:
         top = self.stack[-1]
@@ -152,9 +165,9 @@ class Page:
             return
         top = self.stack[-1]
         if self.collect:
-            top.blocks.append(_hash(text))
+            top.blocks.append((_hash(text), 0 if top.other else len(text)))
         if not (top.other or top.low):
-            (self.article if top.article else self.body).append(text)
+            self.kept.append((top.level, top.article, text))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
@@ -170,9 +183,11 @@ class Page:
         other, classes = _declared(tag, attributes, top.article)
         path = _hash(f"{top.path} {tag} {classes}")
         article = tag in ("article", "main") and not other
+        main = top.open and path in self.main and not other and tag not in INLINE_ROOTS
         # an article is text even where all pages of a host hold the same one, and so are its paragraphs
-        low = not article and (top.low or path in self.low and not (top.article and tag in INLINE_ROOTS))
-        self.stack.append(Element(tag, path, top.other or other, low, top.article or article))
+        low = not article and not main and (top.low or path in self.low and not (top.article and tag in INLINE_ROOTS))
+        # an article is taken whole: nothing below it is preferred to the rest of it
+        self.stack.append(Element(tag, path, top.other or other, low, top.article or article, top.level + main, main and not article))
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
@@ -200,13 +215,20 @@ class Page:
             self._flush()
         done = self.stack.pop()
         if self.collect:
-            self.rows.add((done.path, 0, _hash(" ".join(done.children))))
-            self.rows.update((done.path, 1, block) for block in done.blocks)
+            self._note(done, self.stack[-1].path)
             self.stack[-1].blocks += done.blocks
 
+    def _note(self, done: Element, parent: int) -> None:
+        self.rows[done.path, 0, _hash(" ".join(done.children))] = parent
+        for block, chars in done.blocks:
+            self.rows[done.path, 1, block] = max(chars, self.rows.get((done.path, 1, block), 0))
+
     @property
     def text(self) -> str:
-        return " ".join(self.article or self.body)
+        """What stands in the innermost main node that holds text; its article, where the tree goes no further."""
+        level = max((k[0] for k in self.kept), default=0)
+        own = [k for k in self.kept if k[0] == level]
+        return " ".join(text for _, _, text in [k for k in own if k[1]] or own)
 
 
 def _hash(text: str) -> int:
@@ -220,46 +242,58 @@ def host_of(url: Column) -> Column:
 
 
 def _tree_rows(pages: pa.Array) -> pa.Array:
-    names = ("path", "kind", "signature")
-    kind = pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("signature", pa.int64())]))
-    found = [[dict(zip(names, r, strict=True)) for r in Page(h, collect=True).rows] for h in strings(pages)]
+    names = ("path", "kind", "signature", "extra")
+    kind = pa.list_(pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("signature", pa.int64()), ("extra", pa.int64())]))
+    found = [[dict(zip(names, (*r, x), strict=True)) for r, x in Page(h, collect=True).rows.items()] for h in strings(pages)]
     return pa.array(found, kind)
 
 
 def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``host``, ``path``, ``pages`` with the node, ``of`` all pages of the host, and its ``importance``.
+    """``host``, ``path``, ``parent``, ``pages`` with the node, ``of`` all pages of the host, its
+    ``importance`` and its ``mass``: characters below it per page with the node, weighed by importance.
 
-    Equal pages of one host count as often as they come.
+    Equal pages of one host count as often as they come. The root has the path 0.
     """
     named = pages.select(host_of(F.col(url)).alias("host"), filled(html).alias("html"))
-    read = F.arrow_udf(_tree_rows, "array<struct<path: bigint, kind: int, signature: bigint>>")
+    read = F.arrow_udf(_tree_rows, "array<struct<path: bigint, kind: int, signature: bigint, extra: bigint>>")
     rows = named.select("host", F.inline(read("html")))
-    counted = stored(rows.groupBy("host", "path", "kind", "signature").agg(F.count("*").alias("n")))
+    counted = rows.groupBy("host", "path", "kind", "signature").agg(F.count("*").alias("n"), F.max("extra").alias("extra"))
+    counted = stored(counted)
     pages_of = named.groupBy("host").agg(F.count("*").alias("of"))
     total = F.sum("n")
     spread = F.sum(F.col("n") * F.log(F.col("n")))
-    node = counted.groupBy("host", "path", "kind").agg(total.alias("total"), spread.alias("spread"))
+    chars = F.col("n") * F.col("extra")
+    node = counted.groupBy("host", "path", "kind").agg(
+        total.alias("total"),
+        spread.alias("spread"),
+        F.max("extra").alias("extra"),
+        F.sum(F.when(F.col("kind") == 1, chars)).alias("chars"),
+        F.sum(F.when(F.col("kind") == 1, chars * F.log("n"))).alias("shared"),
+    )
     # children: every page has one or more layouts, entropy of their shares; blocks: mean entropy of each over pages
     layout, content = F.col("kind") == 0, F.col("kind") == 1
     merged = node.groupBy("host", "path").agg(
         F.sum(F.when(layout, F.col("total"))).alias("pages"),
         F.sum(F.when(layout, F.log("total") - F.col("spread") / F.col("total"))).alias("layouts"),
         F.sum(F.when(content, F.col("spread") / F.col("total"))).alias("blocks"),
+        F.max(F.when(layout, F.col("extra"))).alias("parent"),
+        F.sum("chars").alias("chars"),
+        F.sum("shared").alias("shared"),
     )
     joined = merged.join(pages_of, "host")
     base = F.log(F.col("of"))
     presentation = F.least(F.col("layouts") / base, F.lit(1.0))
     text = F.coalesce(1 - F.col("blocks") / base, F.lit(0.0))
     weighed = PRESENTATION * presentation + (1 - PRESENTATION) * text
-    return joined.select("host", "path", "pages", "of", F.when(F.col("of") < PAGES, 1.0).otherwise(weighed).alias("importance"))
+    few = F.col("of") < PAGES
+    mass = F.coalesce(F.col("chars") - F.when(few, 0.0).otherwise(F.col("shared") / base), F.lit(0.0)) / F.col("pages")
+    importance = F.when(few, 1.0).otherwise(weighed)
+    return joined.select("host", "path", "parent", "pages", "of", importance.alias("importance"), mass.alias("mass"))
 
 
-def _extracted(pages: pa.Array, low: pa.Array) -> pa.Array:
-    texts = []
-    for html, paths in zip(strings(pages), low, strict=True):
-        known = frozenset(paths.as_py()) if paths.is_valid else frozenset()
-        page = Page(html, known)
-        texts.append(page.text)
+def _extracted(pages: pa.Array, low: pa.Array, main: pa.Array) -> pa.Array:
+    known = lambda paths: frozenset(paths.as_py() or ())
+    texts = [Page(html, known(a), known(b)).text for html, a, b in zip(strings(pages), low, main, strict=True)]
     return pa.array(texts, pa.string())
 
 
@@ -268,16 +302,22 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     are replaced.
 
     One row per input row, repeated rows alike. NULL and empty pages have an empty text; pages with no
-    host in their URL, or a NULL URL, form one host. The text is the page's article or main element, or
-    what is left of its body if it has none.
+    host in their URL, or a NULL URL, form one host. The text is that of the main branch of the host's
+    tree; where no branch holds MAIN of the mass, or the host has too few pages, it is the page's article
+    or main element, or what is left of its body if it has none.
     """
-    tree = style_tree(pages, url, html)
-    # a host has at most (nodes of a page) / SHARE such paths
-    low = tree.filter((F.col("pages") >= SHARE * F.col("of")) & (F.col("importance") < LEAST))
-    low = stored(low.groupBy("host").agg(F.collect_set("path").alias("_low")).withColumnRenamed("host", "_host"))
-    host, paths, found = unused(pages, "host", "paths", "found")
-    low = low.select(F.col("_host").alias(host), F.col("_low").alias(paths))
-    joined = pages.join(low, host_of(F.col(url)) == F.col(host), "left")
+    # a host has at most (nodes of a page) / SHARE such paths, and a parent is on all pages of its child
+    tree = style_tree(pages, url, html).filter((F.col("pages") >= SHARE * F.col("of")) & (F.col("of") >= PAGES))
+    tree = stored(tree)
+    above = tree.select("host", F.col("path").alias("parent"), F.col("mass").alias("whole"))
+    low = F.when(F.col("importance") < LEAST, F.col("path"))
+    main = F.when((F.col("mass") >= MAIN * F.col("whole")) & (F.col("mass") > 0) & (F.col("path") != 0), F.col("path"))
+    lists = tree.join(above, ["host", "parent"], "left").groupBy("host")
+    lists = stored(lists.agg(F.collect_set(low).alias("_low"), F.collect_set(main).alias("_main")))
+    discard(tree)
+    host, low_, main_, found = unused(pages, "host", "low", "main", "found")
+    lists = lists.select(F.col("host").alias(host), F.col("_low").alias(low_), F.col("_main").alias(main_))
+    joined = pages.join(lists, host_of(F.col(url)) == F.col(host), "left")
     texts = F.arrow_udf(_extracted, "string")
-    joined = joined.withColumn(found, texts(filled(html), paths)).drop(host, paths)
+    joined = joined.withColumn(found, texts(filled(html), low_, main_)).drop(host, low_, main_)
     return joined.withColumns({"text": F.col(found), "n_chars": F.char_length(found).cast("long")}).drop(found)

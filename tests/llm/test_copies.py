@@ -230,6 +230,53 @@ def test_style_tree_drops_unnamed_branches(spark):
     assert {r.text for r in pages.extract(df).collect()} == {f"own text {k} more {k * 7}" for k in range(20)}
 
 
+def test_tree_finds_the_text_without_telling_names(spark):
+    rng = random.Random(4)
+    said = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    plain = "<body><div class=k1><a href=x>%s</a></div><div class=k2><h1>%s</h1><div class=k3>%s</div><p>%s</p></div><div class=k4>%s</div></body>"
+    other = "<body><table class=m><tr><td>%s</td></tr></table><div class=n><p>%s</p><p>%s</p></div></body>"
+    rows, expected = [], {}
+    for k in range(40):  # two templates on one host; a third of the articles is shorter than what surrounds them
+        long = 4 if k % 3 == 0 else 80
+        if k % 4:
+            parts = [said(3), said(4), said(long), said(long), said(5)]
+            rows.append((k, "http://h.example", plain % tuple(parts)))
+            expected[k] = " ".join(parts[1:4])
+        else:
+            parts = [said(6), said(long), said(long)]
+            rows.append((k, "http://h.example", other % tuple(parts)))
+            expected[k] = " ".join(parts[1:])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in pages.extract(df).collect()} == expected
+
+
+def test_entropies_and_masses_against_their_definition(spark):
+    rng = random.Random(6)
+    trees = []  # (class of the section, its texts) of each page
+    for _ in range(30):
+        trees.append([(rng.choice("uvw"), [rng.choice(["same", "often", f"own {rng.random()}"]) for _ in range(rng.randint(0, 3))]) for _ in range(rng.randint(1, 3))])
+    html = ["<body>" + "".join(f"<section class={c}>" + "".join(f"<p>{t}</p>" for t in texts) + "</section>" for c, texts in tree) + "</body>" for tree in trees]
+    df = spark.createDataFrame([(f"http://h.example/{k}", h) for k, h in enumerate(html)], "url string, html string")
+    found = {r.path: r for r in pages.style_tree(df).collect()}
+    body = pages._hash("0 body ")
+    for name in "uvw":
+        path = pages._hash(f"{body} section {name}")
+        layouts, blocks = {}, {}
+        for k, tree in enumerate(trees):
+            for layout in {len(texts) for c, texts in tree if c == name}:
+                layouts.setdefault(layout, []).append(k)
+            for text in {t for c, texts in tree if c == name for t in texts}:
+                blocks[text] = blocks.get(text, 0) + 1
+        total = sum(map(len, layouts.values()))
+        entropy = -sum(len(p) / total * np.log(len(p) / total) for p in layouts.values()) / np.log(30)
+        evenness = {t: np.log(n) / np.log(30) for t, n in blocks.items()}  # a block lies evenly on its n pages
+        wanted = pages.PRESENTATION * min(entropy, 1) + (1 - pages.PRESENTATION) * (1 - sum(n * evenness[t] for t, n in blocks.items()) / sum(blocks.values()))
+        mass = sum(n * len(t) * (1 - evenness[t]) for t, n in blocks.items()) / total
+        assert (found[path].parent, found[path].of, found[path].pages) == (body, 30, total)
+        assert abs(found[path].mass - mass) < 1e-9
+        assert abs(found[path].importance - wanted) < 1e-9
+
+
 def test_repair_is_cheapest_in_any_grouping():
     for n in range(1, 5):
         for roles in itertools.product(range(4), repeat=n):
