@@ -23,11 +23,13 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import BLOCK, filled, read_file, strings, unused
+from millrace.llm.text import filled, read_file, strings, unused
 
 SPACE = "▁"
-KEPT = 1 << 17  # word lattices kept by a task before they are dropped
-TOGETHER = 1 << 14  # words whose lattices are built at once
+KEPT = 1 << 19  # characters of word lattices kept by a task before they are dropped
+TOGETHER = 1 << 16  # characters whose lattices are built at once, and at least one word
+DRAWN = 1 << 19  # characters sampled at once, about
+ROWS = 256  # texts of a batch taken out of Arrow at once
 LONGEST = 4096  # characters: a longer run without spaces is cut there, so that no lattice grows without bound
 STEP = 0x9E3779B97F4A7C15
 FACTOR = np.uint64(0xFF51AFD7ED558CCD)
@@ -106,7 +108,7 @@ def load(model: bytes, alpha: float) -> Vocabulary:
 
 
 class Growing:
-    """An array that doubles its room when it is full, so that adding to it copies little."""
+    """An array that makes half as much room again when it is full, so that adding to it copies little."""
 
     def __init__(self, kind: type):
         self.held, self.size = np.empty(1 << 10, kind), 0
@@ -114,7 +116,7 @@ class Growing:
     def add(self, values: np.ndarray) -> None:
         end = self.size + len(values)
         if end > len(self.held):
-            self.held = np.concatenate([self.held[: self.size], np.empty(max(end, 2 * self.size) - self.size, self.held.dtype)])
+            self.held = np.concatenate([self.held[: self.size], np.empty(max(end, 3 * self.size // 2) - self.size, self.held.dtype)])
         self.held[self.size : end] = values
         self.size = end
 
@@ -148,8 +150,14 @@ class Lattices(dict):
 
     def build(self) -> None:
         """Lattices for the words that came since the last call."""
-        while self.sizes.size < len(self.words):
-            self._build(self.words[self.sizes.size : self.sizes.size + TOGETHER])
+        words = self.words[self.sizes.size :]
+        ends = np.cumsum([len(w) + 1 for w in words])
+        at = 0
+        while at < len(words):
+            upto = (ends[at - 1] if at else 0) + TOGETHER
+            end = max(int(np.searchsorted(ends, upto, side="right")), at + 1)
+            self._build(words[at:end])
+            at = end
 
     def _build(self, words: list[str]) -> None:
         """Lattices of some words, all of them together.
@@ -279,7 +287,7 @@ class Sampler:
         self.lattices = Lattices(self.v)
 
     def encode(self, keys: list, texts: list[str]) -> list[np.ndarray]:
-        """Piece numbers per text. Texts are worked through in groups of about BLOCK characters; a
+        """Piece numbers per text. Texts are worked through in groups of about DRAWN characters; a
         longer one is cut between words, which changes nothing in the result."""
         parts: list[list[np.ndarray]] = [[] for _ in texts]
         held, size = [], 0
@@ -292,7 +300,7 @@ class Sampler:
                 held.append((row, ids, mixed(stream + counter)))
                 number += len(words)
                 size += sum(map(len, words))
-                if size >= BLOCK:
+                if size >= DRAWN:
                     self._drawn(held, parts)
                     held, size = [], 0
         self._drawn(held, parts)
@@ -319,7 +327,7 @@ class Sampler:
         cuts = np.concatenate([[0], np.cumsum(counts)])[ends_of]
         for (row, *_), a, b in zip(held, cuts.tolist(), cuts[1:].tolist(), strict=False):
             parts[row].append(pieces[a:b])
-        if len(self.lattices) > KEPT or self.lattices.nodes > 16 * KEPT:
+        if self.lattices.nodes > KEPT:
             self.lattices = Lattices(self.v)
 
     def decode(self, pieces: np.ndarray) -> str:
@@ -329,11 +337,11 @@ class Sampler:
 
 
 def _between_spaces(text: str) -> Iterator[list]:
-    """What stands between the spaces of a text, in lists of about BLOCK characters or one run; runs
+    """What stands between the spaces of a text, in lists of about DRAWN characters or one run; runs
     longer than LONGEST are cut, all parts but the first in tuples."""
     start = 0
     while start <= len(text) and text:
-        end = text.find(" ", start + BLOCK)
+        end = text.find(" ", start + DRAWN)
         end = len(text) if end < 0 else end
         words = text[start:end].split(" ")
         if max(map(len, words)) > LONGEST:
@@ -363,13 +371,16 @@ def pieces_of(
     def drawn(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         sampler = Sampler(model.value, seed, alpha)
         for keys, texts in batches:
-            names, all_texts = [k.as_py() for k in keys], list(strings(texts))
-            found = sampler.encode(names, all_texts)
-            same = [sampler.decode(p) == t for p, t in zip(found, all_texts, strict=True)]
-            columns = [
-                pa.array(found, pa.list_(pa.int32())), pa.array([len(p) for p in found], pa.int64()), pa.array(same, pa.bool_()),
-            ]
-            yield pa.StructArray.from_arrays(columns, names=["pieces", "n_pieces", "lossless"])
+            done = []
+            for at in range(0, max(len(keys), 1), ROWS):
+                names, own = [k.as_py() for k in keys.slice(at, ROWS)], list(strings(texts.slice(at, ROWS)))
+                found = sampler.encode(names, own)
+                same = [sampler.decode(p) == t for p, t in zip(found, own, strict=True)]
+                columns = [
+                    pa.array(found, pa.list_(pa.int32())), pa.array([len(p) for p in found], pa.int64()), pa.array(same, pa.bool_()),
+                ]
+                done.append(pa.StructArray.from_arrays(columns, names=["pieces", "n_pieces", "lossless"]))
+            yield pa.concat_arrays(done)
 
     return drawn(key.cast("string"), filled(text))
 
