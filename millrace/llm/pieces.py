@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from millrace.llm.text import filled, read_file, strings, unused
 
 SPACE = "▁"
-KEPT = 1 << 19  # characters of word lattices kept by a task before they are dropped
+KEPT = 1 << 20  # characters of word lattices kept by a task before they are dropped
 TOGETHER = 1 << 16  # characters whose lattices are built at once, and at least one word
 DRAWN = 1 << 19  # characters sampled at once, about
 ROWS = 256  # texts of a batch taken out of Arrow at once
@@ -108,10 +108,11 @@ def load(model: bytes, alpha: float) -> Vocabulary:
 
 
 class Growing:
-    """An array that makes half as much room again when it is full, so that adding to it copies little."""
+    """An array to add to. Its first room holds what is kept as a rule, and takes memory only where it is
+    filled; when it is full it makes half as much room again."""
 
-    def __init__(self, kind: type):
-        self.held, self.size = np.empty(1 << 10, kind), 0
+    def __init__(self, kind: type, room: int = 2 * KEPT):
+        self.held, self.size = np.empty(room, kind), 0
 
     def add(self, values: np.ndarray) -> None:
         end = self.size + len(values)
@@ -139,7 +140,7 @@ class Lattices(dict):
         self.v = v
         self.words: list[str] = []
         self.first, self.sizes = Growing(np.int64), Growing(np.int64)
-        self.reach, self.length, self.number = Growing(np.float64), Growing(np.int8), Growing(np.int32)
+        self.reach, self.length, self.number = (Growing(kind, 8 * KEPT) for kind in (np.float64, np.int8, np.int32))
         self.edge = Growing(np.int32)  # the first edge into each node
         self.nodes = 0
 
@@ -171,14 +172,17 @@ class Lattices(dict):
         inner = codes == ord(SPACE)  # within a text the space mark is a character to be spelled
         inner[first + 1] = False
         marks = mixed(np.where(inner, ord(SEPARATOR), codes).astype(np.uint64))
+        nodes, left = np.arange(len(codes)), np.repeat(first + sizes, sizes + 1) - np.arange(len(codes))
         hashes, ends, starts, numbers = np.zeros(len(codes), np.uint64), [], [], []
         for length in range(1, v.longest + 1):
-            if length >= len(codes):
+            inside = np.flatnonzero(left >= length)  # nodes with so many characters of their word after them
+            if not len(inside):
                 break
-            hashes = hashes[: len(codes) - length] * FACTOR + marks[length:]  # of the characters after each node
+            nodes, left = nodes[inside], left[inside]
+            hashes = hashes[inside] * FACTOR + marks[nodes + length]  # of these characters
             at, number = v.find(length, hashes)
-            starts.append(at)
-            ends.append(at + length)
+            starts.append(nodes[at])
+            ends.append(nodes[at] + length)
             numbers.append(number)
         single = np.ones(len(codes), bool)
         single[first] = False
@@ -188,8 +192,8 @@ class Lattices(dict):
         number = np.concatenate([*numbers, np.full(len(single), -1)]).astype(np.int64)
         order = np.argsort(into * (v.longest + 1) + v.longest - (into - out), kind="stable")
         into, out, number = into[order], out[order], number[order]
-        owner = np.searchsorted(first, into, side="right") - 1
-        end = into - first[owner]
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes + 1)[into]
+        end = (into - first[owner]).astype(np.int16)  # narrow integers sort in linear time
         weight = v.weights[number]
         spelled = np.flatnonzero(number < 0)
         weight[spelled] = [
@@ -214,7 +218,8 @@ class Lattices(dict):
                 for k in range(min(level, v.longest) + 1):
                     total[reached - k] /= sums
         opens = np.concatenate([[True], into[1:] != into[:-1]])
-        rank = np.arange(len(into)) - np.maximum.accumulate(np.where(opens, np.arange(len(into)), 0))
+        place = np.arange(len(into))
+        rank = (place - np.maximum.accumulate(np.where(opens, place, 0))).astype(np.int16)
         by_rank = np.argsort(rank, kind="stable")
         rank_ends = np.searchsorted(rank[by_rank], np.arange(rank.max() + 2))
         for r in range(1, int(rank.max()) + 1):
