@@ -122,6 +122,17 @@ def test_lines_of_one_bucket_with_interleaved_groups(spark):
     assert found == union(links, list(sets)) and len(set(found.values())) == 14
 
 
+def test_lines_that_share_many_buckets_share_their_leaders(spark, monkeypatch):
+    """Pairs and roots grow with the lines, not with the buckets that they share or the rounds of others."""
+    made, verified = [], lines.verified
+    monkeypatch.setattr(lines, "verified", lambda pairs, *rest: made.append(pairs.count()) or verified(pairs, *rest))
+    base = "".join(random.Random(3).choices("abcdefghij", k=90))
+    lines_ = spark.createDataFrame([(k, f"{base}{k:03d}") for k in range(200)], "id long, line string")
+    met = lines_.select("id", F.explode(F.sequence(F.lit(1), F.lit(25))).alias("band"))
+    found = {r.root for r in lines.linked(met.select("band", "id"), lines.line_texts(met, lines_), 0.8).collect()}
+    assert found == {0} and sum(made) < 200 * 20  # of 19,900; with other leaders in each bucket about 150 each
+
+
 def test_signatures_find_single_letter_edits(spark):
     rng = random.Random(9)
     shingles = lambda x: {x[j : j + 5] for j in range(len(x) - 4)}
