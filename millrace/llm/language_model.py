@@ -30,9 +30,9 @@ SHARED = 32  # classes of all other words, by their ending
 END = OWN + SHARED  # class of the end of a text, and of what stands before its first word
 CLASSES = END + 1
 WIDTH = 32  # of a class vector
-NOISE = 16  # noise samples per observed n-gram
+NOISE = 16  # noise samples per observed n-gram, as an expectation
 SENT = 200_000  # at most so many counts of frequent words are sent to the tasks; the others are joined
-STEPS, BATCH, RATE = 600, 4096, 0.1
+STEPS, RATE = 600, 0.1  # of the training, each step over all n-grams
 
 
 def ending_class(word: bytes) -> int:
@@ -100,10 +100,12 @@ class Model:
 
 
 def train(grams: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int = 0) -> Model:
-    """Fit to class n-gram counts by noise-contrastive estimation, with AdaGrad steps over shuffled batches.
+    """Fit to class n-gram counts by noise-contrastive estimation, with AdaGrad steps over all of them.
 
-    A batch draws n-grams in proportion to their counts; the noise is the unigram distribution of
-    classes. Scores count as log-probabilities, so the model learns to be nearly normalised by itself.
+    Nothing is drawn but the vectors to start from: every step takes each n-gram with its count, and for
+    each context the NOISE noise samples per observed n-gram as their expectation under the unigram
+    distribution of classes. Scores count as log-probabilities, so the model learns to be nearly
+    normalised by itself. The tables have a row per context met, CLASSES ** CONTEXT at most.
     """
     rng = np.random.default_rng(seed)
     unigram = np.bincount(grams % CLASSES, counts, CLASSES) + 1.0
@@ -111,35 +113,28 @@ def train(grams: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int =
     log_noise = np.log(NOISE * noise).astype(np.float32)
     shapes = [rng.normal(0, 0.1, (CLASSES, WIDTH)), rng.normal(0, 0.1, (CLASSES, WIDTH)), np.ones((CONTEXT, WIDTH)) / CONTEXT]
     params = [p.astype(np.float32) for p in (*shapes, np.log(noise))]
-    squares = [np.full_like(p, 1e-8) for p in params]
-    every = np.arange(CLASSES)[:, None]
+    squares = [np.full_like(p, 1e-20) for p in params]  # keeps apart from 0 only
     if not len(grams):
         return Model(*params)
-    share = np.cumsum(counts / counts.sum())
-    noise_share = np.cumsum(noise)
+    contexts, row = np.unique(grams // CLASSES, return_inverse=True)
+    before = np.stack([contexts // CLASSES ** (CONTEXT - 1 - k) % CLASSES for k in range(CONTEXT)], axis=1)
+    seen = np.zeros((len(contexts), CLASSES))
+    np.add.at(seen, (row, grams % CLASSES), counts / counts.sum())
+    both = (seen + seen.sum(axis=1, keepdims=True) * (NOISE * noise)).astype(np.float32)
+    seen = seen.astype(np.float32)
+    # sums by class are products with indicators
+    holds = [(np.arange(CLASSES)[:, None] == before[:, k]).astype(np.float32) for k in range(CONTEXT)]
     for step in range(steps):
-        drawn = grams[np.minimum(np.searchsorted(share, rng.random(BATCH)), len(grams) - 1)]
-        before = np.stack([drawn // CLASSES ** (CONTEXT - k) % CLASSES for k in range(CONTEXT)], axis=1)
-        false = np.minimum(np.searchsorted(noise_share, rng.random(NOISE)), CLASSES - 1)  # shared by the batch
-        classes = np.concatenate([(drawn % CLASSES)[:, None], np.broadcast_to(false, (BATCH, NOISE))], axis=1)
         context, target, position, bias = params
         inputs = context[before]
         predicted = (inputs * position).sum(axis=1)
-        score = np.concatenate(
-            [(predicted * target[classes[:, 0]]).sum(axis=1, keepdims=True), predicted @ target[false].T], axis=1
-        ) + bias[classes]
-        error = 1 / (1 + np.exp(-(score - log_noise[classes])))
-        error[:, 0] -= 1
-        error = (error / BATCH).astype(np.float32)
-        to_bias = np.bincount(classes.ravel(), error.ravel(), CLASSES)
-        # sums by class are products with indicators
-        to_target = (every == classes[:, 0]).astype(np.float32) @ (error[:, :1] * predicted)
-        np.add.at(to_target, false, error[:, 1:].T @ predicted)
-        to_predicted = error[:, :1] * target[classes[:, 0]] + error[:, 1:] @ target[false]
+        score = predicted @ target.T + bias
+        error = both * (0.5 + 0.5 * np.tanh(0.5 * (score - log_noise))) - seen
+        to_predicted = error @ target
         to_position = (to_predicted[:, None, :] * inputs).sum(axis=0)
-        to_context = sum((every == before[:, k]).astype(np.float32) @ (to_predicted * position[k]) for k in range(CONTEXT))
+        to_context = sum(holds[k] @ (to_predicted * position[k]) for k in range(CONTEXT))
         rate = RATE * (1 - step / steps)
-        for p, s, g in zip(params, squares, (to_context, to_target, to_position, to_bias), strict=True):
+        for p, s, g in zip(params, squares, (to_context, error.T @ predicted, to_position, error.sum(axis=0)), strict=True):
             s += g * g
             p -= rate * g / np.sqrt(s)
     return Model(*params)

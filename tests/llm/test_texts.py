@@ -177,6 +177,25 @@ def test_language_model_scores(spark):
     assert better[0] > better[1]
 
 
+def test_language_model_learns_from_every_ngram():
+    """A gram met once in a billion still moves the vectors of its classes; nothing is left to a draw."""
+    c = language_model.CLASSES
+    grams, counts = np.asarray([(3 * c + 4) * c + 5, (6 * c + 7) * c + 8]), np.asarray([1e9, 1.0])
+    start, moved = (language_model.train(grams, counts, steps=k) for k in (0, 20))
+    for name, classes in {"context": [3, 4, 6, 7], "target": [5, 8]}.items():
+        gone = np.abs(getattr(moved, name) - getattr(start, name)).max(axis=1)
+        assert (gone[classes] > 1e-3).all()
+
+
+def test_language_model_comes_near_the_counts():
+    c, rng = language_model.CLASSES, np.random.default_rng(4)
+    grams = np.unique(rng.integers(0, 4, (200, 3)) @ np.asarray([c * c, c, 1]))
+    counts = rng.integers(1, 2000, len(grams)).astype(float)
+    table = 10.0 ** language_model.train(grams, counts).log_probabilities().reshape(-1, c)
+    total = np.bincount(grams // c, counts, c * c)
+    assert np.average(np.abs(table[grams // c, grams % c] - counts / total[grams // c]), weights=counts) < 0.1
+
+
 def test_language_model_without_texts(spark):
     fitted = language_model.fit(frame(spark).limit(0))
     assert language_model.score(frame(spark), fitted, "doc_id").count() == len(TEXTS)
