@@ -9,7 +9,7 @@ from millrace.operators import boosting, evaluate, model_walk, models, prepare,
 from millrace.plans import jobs
 from millrace.plans.learner_sql import boosted_trees, formula_weights, forward_pass, gini_tree, metrics
 from millrace.plans.registry import FF, ORDER_FEATURES, query, r, rounded, split_at, zscored
-from millrace.session import freeze, scratch_path
+from millrace.session import freeze, scratch_path, spread
 from millrace.sources import frames
 from millrace.sources.frames import BAND_FEATURES
 
@@ -330,11 +330,12 @@ def perceptron_job_rows(spark: SparkSession, folder: str) -> DataFrame:
 SELECT part, count(*) AS n_rows, count(*) AS n_same_probability, count(*) AS n_same_prediction FROM sp GROUP BY part""")
 def perceptron_walk(spark: SparkSession, folder: str) -> DataFrame:
     """A net of two layers of 64 after five steps, applied from its weight vector by built-in functions
-    alone: every row gets what the model itself gives it."""
+    alone: every row gets what the model itself gives it. Functions over array elements take long for a row,
+    so the rows are dealt out over all cores first."""
     df = _orders(spark, folder)
     df = sampling.split_hash(prepare.fit_zscore(df, ORDER_FEATURES).transform(df), _KEY, 0.75, seed=1)
     model = models.fit_perceptron(df.filter("part = 'train'"), ORDER_FEATURES)
-    scored = models.score(model, df, ORDER_FEATURES).withColumn("own", evaluate.class_probabilities())
+    scored = models.score(model, spread(df), ORDER_FEATURES).withColumn("own", evaluate.class_probabilities())
     inputs = F.array(*[F.col(c).cast("double") for c in ORDER_FEATURES])
     walked = model_walk.feed_forward(scored, inputs, model.weights.toArray().tolist(), list(model.getLayers()), "walked")
     return _agreement(walked)

@@ -68,3 +68,10 @@ def test_tasks_need_no_installed_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]
+
+
+def test_spread_deals_stored_rows_over_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    stored = session.freeze(spark.range(1000).coalesce(1))
+    sizes = [r["count"] for r in session.spread(stored).groupBy(F.spark_partition_id()).count().collect()]
+    assert stored.rdd.getNumPartitions() < cores <= len(sizes) and max(sizes) < 2 * min(sizes) and sum(sizes) == 1000
