@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.prepare import assemble
-from millrace.session import set_checkpoint_folder
+from millrace.session import set_checkpoint_folder, spread
 
 VECTOR = "features"
 
@@ -83,12 +83,13 @@ def fit_perceptron(
     df: DataFrame, features: Sequence[str] | str, label: str = "label",
     hidden: Sequence[int] = (64, 64), inputs: int | None = None, outputs: int = 2,
     layers: Sequence[int] | None = None, iterations: int = 5, seed: int = 1, block_rows: int = 128,
-    initial: Sequence[float] | None = None,
+    initial: Sequence[float] | None = None, even: bool = True,
 ) -> Model:
     """Perceptron with sigmoid hidden layers and a soft-max output.
 
     ``layers`` overrides all widths; a wider output than there are classes is allowed. ``initial`` are
-    the weights to start from, such as those of an earlier fit; else they are drawn by the seed.
+    the weights to start from, such as those of an earlier fit; else they are drawn by the seed. Every
+    step passes over all rows, which are dealt out evenly over all cores first; not ``even`` leaves the layout.
     """
     if layers is None:
         width = inputs if isinstance(features, str) else len(features)
@@ -101,7 +102,8 @@ def fit_perceptron(
     )
     if initial is not None:
         learner.setInitialWeights(Vectors.dense(list(initial)))
-    return learner.fit(_training(df, features, label))
+    rows = _training(df, features, label)
+    return learner.fit(spread(rows) if even and iterations > 0 else rows)
 
 
 def score(model: Model, df: DataFrame, features: Sequence[str] | str) -> DataFrame:

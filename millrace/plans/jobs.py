@@ -177,7 +177,7 @@ def perceptron_job(
     parts = sampling.split_hash(df.select(*keys, one, *names), keys, share, seed)
     model = models.fit_perceptron(
         dealt(parts.filter("part = 'train'"), keys, partitions), features, "label", hidden, inputs, layers=layers,
-        iterations=iterations, seed=seed, initial=initial,
+        iterations=iterations, seed=seed, initial=initial, even=partitions is None,
     )
     scored = models.score(model, parts.filter("part = 'test'"), features)
     counts = evaluate.confusion_counts(
@@ -203,7 +203,7 @@ def perceptron_minmax_job(
     scaled = scaled.fillna(0.0, subset=constant) if constant else scaled
     model = models.fit_perceptron(
         dealt(scaled.filter(training), keys, partitions), features, "label", hidden, iterations=iterations, seed=seed,
-        initial=initial,
+        initial=initial, even=partitions is None,
     )
     scored = models.score(model, scaled, features)
     counts = evaluate.confusion_counts(

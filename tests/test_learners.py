@@ -141,3 +141,13 @@ def test_given_weights_are_where_a_fit_starts(rows):
     assert model.weights.toArray().tolist() == start
     moved = models.fit_perceptron(rows, NAMES, layers=layers, initial=start, iterations=3)
     assert moved.weights.toArray().tolist() != start
+
+
+def test_a_perceptron_is_trained_on_all_cores(spark, rows, monkeypatch):
+    seen, fit = [], models.MultilayerPerceptronClassifier.fit
+    monkeypatch.setattr(models.MultilayerPerceptronClassifier, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    models.fit_perceptron(rows.coalesce(1), NAMES, hidden=(4,), iterations=1)
+    sizes = [r.n for r in seen[0].groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes) and sum(sizes) == 900
+    models.fit_perceptron(rows.coalesce(1), NAMES, hidden=(4,), iterations=1, even=False)
+    assert seen[1].rdd.getNumPartitions() == 1
