@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.prepare import assemble
-from millrace.session import set_checkpoint_folder, spread
+from millrace.session import keep, set_checkpoint_folder, spread
 
 VECTOR = "features"
+WEIGHT = "equal rows"  # column of their number
+COUNTED_ROWS = 10_000  # least counted rows of a partition that a forest is grown over
 
 
 def vectors(df: DataFrame, features: Sequence[str] | str, missing: str = "error") -> DataFrame:
@@ -28,30 +30,53 @@ def vectors(df: DataFrame, features: Sequence[str] | str, missing: str = "error"
     return assemble(df, features, VECTOR, missing)
 
 
-def _training(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
+def _training(df: DataFrame, features: Sequence[str] | str, label: str, *others: str) -> DataFrame:
     """Only label and vector, so that nothing else is shuffled or kept by the learner."""
-    return vectors(df, features).select(F.col(label).cast("double").alias(label), VECTOR)
+    return vectors(df, features).select(F.col(label).cast("double").alias(label), VECTOR, *others)
+
+
+def _counted(df: DataFrame, features: Sequence[str] | str, label: str) -> tuple[DataFrame, DataFrame]:
+    """Rows equal in label and features as one with their number as WEIGHT: kept, and dealt out.
+
+    They are dealt by their values and sorted, so that the layout depends on nothing else, over as many
+    partitions as before, fewer if those would get less than COUNTED_ROWS: each partition holds sums of
+    every node, however few its rows.
+    """
+    by = [label, *dict.fromkeys([features] if isinstance(features, str) else features)]
+    counted = keep(df.groupBy(*by).agg(F.count("*").cast("double").alias(WEIGHT)))
+    parts = max(1, min(df.rdd.getNumPartitions(), counted.count() // COUNTED_ROWS))
+    return counted, counted.repartition(parts, *by).sortWithinPartitions(*by)
 
 
 def fit_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 20,
     depth: int = 4, bins: int = 32, subset: str = "auto", seed: int = 1,
-    node_memory_mb: int = 256, keep_node_ids: bool = False, bootstrap: bool = True,
+    node_memory_mb: int = 256, keep_node_ids: bool = False, bootstrap: bool = True, count_equal: bool = False,
 ) -> Model:
     """Random forest, gini impurity, all features continuous.
 
     Without ``bootstrap`` and with ``subset="all"`` every tree is the greedy tree of the table, which
     depends on nothing else. As many nodes as fit into ``node_memory_mb`` are split per pass over the rows. Kept node ids
-    save walking each row down deep trees in every pass.
+    save walking each row down deep trees in every pass. ``count_equal`` gives equal rows to the learner
+    as one with their number as weight: every node sums the same counts over fewer rows. Trees that draw
+    rows need each of them, so it asks for no ``bootstrap``; a node's ``rows`` are then its distinct ones.
     """
     if keep_node_ids:
         set_checkpoint_folder(df.sparkSession)
+    if count_equal and bootstrap:
+        raise ValueError("a forest that draws rows cannot count equal ones")
     learner = RandomForestClassifier(
         labelCol=label, featuresCol=VECTOR, numTrees=trees, maxDepth=depth, maxBins=bins,
         featureSubsetStrategy=subset, impurity="gini", seed=seed, maxMemoryInMB=node_memory_mb,
         cacheNodeIds=keep_node_ids, bootstrap=bootstrap,
     )
-    return learner.fit(_training(df, features, label))
+    if not count_equal:
+        return learner.fit(_training(df, features, label))
+    kept, rows = _counted(df, features, label)
+    try:
+        return learner.setWeightCol(WEIGHT).fit(_training(rows, features, label, WEIGHT))
+    finally:
+        kept.unpersist()
 
 
 def fit_large_forest(
@@ -61,7 +86,7 @@ def fit_large_forest(
     """A forest of 100 trees without a depth limit of its own; 30 is the deepest that Spark grows."""
     return fit_forest(
         df, features, label, trees, depth, subset=subset, seed=seed, node_memory_mb=1024, keep_node_ids=True,
-        bootstrap=bootstrap,
+        bootstrap=bootstrap, count_equal=not bootstrap,
     )
 
 

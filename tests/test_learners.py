@@ -151,3 +151,21 @@ def test_a_perceptron_is_trained_on_all_cores(spark, rows, monkeypatch):
     assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes) and sum(sizes) == 900
     models.fit_perceptron(rows.coalesce(1), NAMES, hidden=(4,), iterations=1, even=False)
     assert seen[1].rdd.getNumPartitions() == 1
+
+
+def test_equal_rows_counted_give_the_same_forest(spark, rows):
+    rough = rows.select("label", *[F.round(c, 1).alias(c) for c in NAMES])
+    settings = {"trees": 3, "depth": 6, "subset": "all", "bootstrap": False}
+    plain, counted = (models.fit_forest(rough, NAMES, count_equal=c, **settings) for c in (False, True))
+    trees = [sorted((r.tree, r.node, r.feature, r.threshold or 0.0, *r.counts) for r in model_walk.node_table(spark, m).collect()) for m in (plain, counted)]
+    assert trees[0] == trees[1] and len(trees[0]) > 20
+    with pytest.raises(ValueError, match="draws rows"):
+        models.fit_forest(rough, NAMES, count_equal=True)
+
+
+def test_a_large_greedy_forest_counts_equal_rows(rows, monkeypatch):
+    seen, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    rough = rows.select("label", *[F.round(c, 1).alias(c) for c in NAMES])
+    models.fit_large_forest(rough.repartition(16), NAMES, trees=2, depth=3, subset="all", bootstrap=False)
+    assert seen[0].count() == rough.distinct().count() and seen[0].rdd.getNumPartitions() == 1
