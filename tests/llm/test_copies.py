@@ -155,6 +155,49 @@ def test_signatures_find_single_letter_edits(spark):
     assert np.mean(met[:600]) > np.mean(chance) - 0.008 and all(met[600:])
 
 
+def test_lines_of_a_family_are_not_all_compared(spark, monkeypatch):
+    """Lines of a similarity of about 0.7 share a bucket: marks settle most pairs, and lose no link."""
+    made, verified = [], lines.verified
+    monkeypatch.setattr(lines, "verified", lambda pairs, *rest: made.append(pairs.count()) or verified(pairs, *rest))
+    rng = random.Random(6)
+    base, texts = rng.choices("abcdefghijklmnop", k=300), []
+    for k in range(160):
+        own = base.copy()
+        for place in rng.sample(range(300), rng.choice([3, 6, 9])):
+            own[place] = rng.choice("QRSTUVWXYZ")
+        texts.append((k, "".join(own)))
+    lines_ = spark.createDataFrame(texts, "id long, line string")
+    met = lines_.select(F.lit(1).alias("band"), "id")
+    sets = {k: {x[j : j + 5] for j in range(len(x) - 4)} for k, x in texts}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = {r.id: r.root for r in lines.linked(met, lines.line_texts(met, lines_), 0.8).collect()}
+    assert found == union(links, list(sets)) and 1 < len(set(found.values())) and sum(made) < 2000  # of 12,720
+
+
+def test_prints_keep_unlike_lines_apart(spark, monkeypatch):
+    made, verified = [], lines.verified
+    monkeypatch.setattr(lines, "verified", lambda pairs, *rest: made.append(pairs.count()) or verified(pairs, *rest))
+    rng = random.Random(11)
+    texts = [(k, "".join(rng.choices("abcdefghij", k=rng.choice([40, 90, 250])))) for k in range(120)]
+    texts += [(200 + k, f"{x}#") for k, x in texts[:20]]
+    lines_ = spark.createDataFrame(texts, "id long, line string")
+    met = lines_.select(F.lit(1).alias("band"), "id")
+    signed = lines.signatures(lines_)
+    found = {r.id: r.root for r in lines.linked(met, lines.line_texts(met, lines_), 0.8, prints=signed).collect()}
+    assert found == {k: k - 200 if k >= 200 else k for k, _ in texts} and sum(made) < 300  # of 9,730
+
+
+def test_signatures_of_lines_that_repeat_themselves(spark):
+    rng = random.Random(12)
+    once = ["".join(rng.choices("abcdefghij ", k=k)) for k in (7, 55, 62, 70, 150, 300)]
+    made = [x for own in once for few, many in ((1, 2), (1, 3), (1, 12), (5, 40)) for x in (own * few + own[:4], own * many + own[:4])]
+    made += ["-" * 12, "-" * 500]
+    signed = {r.id: set(r.bands) for r in lines.signatures(spark.createDataFrame(list(enumerate(made)), "id long, line string")).collect()}
+    shingles = lambda x: {x[j : j + 5] for j in range(len(x) - 4)}
+    pairs = [(k, k + 1) for k in range(0, len(made), 2) if len(shingles(made[k]) & shingles(made[k + 1])) >= 0.8 * len(shingles(made[k]) | shingles(made[k + 1]))]
+    assert len(pairs) > 20 and all(signed[a] & signed[b] for a, b in pairs)
+
+
 def test_short_lines_of_the_query(spark, tmp_path):
     from millrace.llm import queries
 
