@@ -7,12 +7,14 @@ A model can so be stored, read, checked and applied where its class is not at ha
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Model
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,26 @@ class Trees:
         below = [np.where(side < 0, -1, start + side) for side in (left, right)]
         return cls(roots, table["feature"].to_numpy(), threshold, *below, counts)
 
+    @classmethod
+    def together(cls, parts: Sequence[Trees]) -> Trees:
+        """The trees of all parts, in order."""
+        starts = np.cumsum([0, *(len(t.feature) for t in parts)])
+        moved = [[np.where(side < 0, -1, s + side) for side in (t.left, t.right)] for t, s in zip(parts, starts)]
+        roots = np.concatenate([t.roots + s for t, s in zip(parts, starts)])
+        feature, threshold, counts = (np.concatenate([getattr(t, c) for t in parts]) for c in ("feature", "threshold", "counts"))
+        return cls(roots, feature, threshold, *map(np.concatenate, zip(*moved)), counts)
+
+    def apart(self) -> Iterator[Trees]:
+        """Every tree by itself."""
+        for s, e in zip(self.roots, [*self.roots[1:], len(self.feature)]):
+            below = [np.where(side[s:e] < 0, -1, side[s:e] - s) for side in (self.left, self.right)]
+            yield Trees(np.zeros(1, np.int64), self.feature[s:e], self.threshold[s:e], *below, self.counts[s:e])
+
+    def name(self) -> bytes:
+        """The same for trees with the same nodes, splits and counts."""
+        arrays = (self.roots, self.feature, self.threshold, self.left, self.right, self.counts)
+        return sha256(b"".join(sha256(np.ascontiguousarray(a)).digest() for a in arrays)).digest()
+
     def leaves(self, rows: np.ndarray) -> np.ndarray:
         """The leaf of every row in every tree."""
         at = np.repeat(self.roots[None, :], len(rows), 0)
@@ -99,6 +121,58 @@ class Trees:
         return sorted(found, key=lambda n: n["path"])
 
 
+@dataclass
+class Forest:
+    """A forest apart from its class, in which equal trees stand once, with the number of ``times`` that they
+    were grown. All of them have their say: a tree's shares count as often as it was grown."""
+
+    trees: Trees
+    times: np.ndarray
+
+    @classmethod
+    def of(cls, groups: Iterable[Trees]) -> Forest:
+        """All trees of the groups, which are taken one at a time."""
+        held, times = {}, {}
+        for group in groups:
+            for tree in group.apart():
+                name = tree.name()
+                held.setdefault(name, tree)
+                times[name] = times.get(name, 0) + 1
+        return cls(Trees.together(list(held.values())), np.array(list(times.values()), np.float64))
+
+    @property
+    def getNumTrees(self) -> int:
+        return int(self.times.sum())
+
+    def votes(self, rows: np.ndarray) -> np.ndarray:
+        """Sum over all trees of the class shares of the leaf."""
+        shares = self.trees.counts / self.trees.counts.sum(1, keepdims=True)
+        return (shares[self.trees.leaves(rows)] * self.times[None, :, None]).sum(1)
+
+    def transform(self, df: DataFrame, vector: str = "features") -> DataFrame:
+        """Add ``rawPrediction``, ``probability`` and ``prediction`` as Spark's class does, to rows with their vector."""
+        forest = self
+
+        @F.arrow_udf("array<double>")
+        def voted(vectors: pa.Array) -> pa.Array:
+            if vectors.null_count:
+                raise ValueError("a feature vector is NULL")
+            if not len(vectors):
+                return pa.array([], pa.list_(pa.float64()))
+            rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+            found = np.concatenate([forest.votes(part) for part in np.array_split(rows, len(rows) // 4096 + 1)])
+            ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()))
+
+        raw, all_ = F.col("rawPrediction"), float(self.getNumTrees)
+        added = df.withColumn("rawPrediction", voted(vector_to_array(F.col(vector))))
+        added = added.withColumns({
+            "probability": array_to_vector(F.transform(raw, lambda v: v / F.lit(all_))),
+            "prediction": (F.array_position(raw, F.array_max(raw)) - 1).cast("double"),
+        })
+        return added.withColumn("rawPrediction", array_to_vector(raw))
+
+
 def walk(df: DataFrame, trees: Trees, features: Sequence[str], to: str = "probability") -> DataFrame:
     """Add the class probabilities of a forest as an array; NULL features are an error."""
 

@@ -15,12 +15,14 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators import model_walk
 from millrace.operators.prepare import assemble
 from millrace.session import keep, set_checkpoint_folder, spread
 
 VECTOR = "features"
 WEIGHT = "equal rows"  # column of their number
 COUNTED_ROWS = 10_000  # least counted rows of a partition that a forest is grown over
+HELD_NODES = 1_000_000  # most nodes of trees that the driver grows at a time, about 400 bytes each; one tree at least
 
 
 def vectors(df: DataFrame, features: Sequence[str] | str, missing: str = "error") -> DataFrame:
@@ -48,6 +50,17 @@ def _counted(df: DataFrame, features: Sequence[str] | str, label: str) -> tuple[
     return counted, counted.repartition(parts, *by).sortWithinPartitions(*by)
 
 
+def _forest_learner(
+    label: str, trees: int, depth: int, bins: int, subset: str, seed: int, node_memory_mb: int, keep_node_ids: bool,
+    bootstrap: bool,
+) -> RandomForestClassifier:
+    return RandomForestClassifier(
+        labelCol=label, featuresCol=VECTOR, numTrees=trees, maxDepth=depth, maxBins=bins,
+        featureSubsetStrategy=subset, impurity="gini", seed=seed, maxMemoryInMB=node_memory_mb,
+        cacheNodeIds=keep_node_ids, bootstrap=bootstrap,
+    )
+
+
 def fit_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 20,
     depth: int = 4, bins: int = 32, subset: str = "auto", seed: int = 1,
@@ -65,11 +78,7 @@ def fit_forest(
         set_checkpoint_folder(df.sparkSession)
     if count_equal and bootstrap:
         raise ValueError("a forest that draws rows cannot count equal ones")
-    learner = RandomForestClassifier(
-        labelCol=label, featuresCol=VECTOR, numTrees=trees, maxDepth=depth, maxBins=bins,
-        featureSubsetStrategy=subset, impurity="gini", seed=seed, maxMemoryInMB=node_memory_mb,
-        cacheNodeIds=keep_node_ids, bootstrap=bootstrap,
-    )
+    learner = _forest_learner(label, trees, depth, bins, subset, seed, node_memory_mb, keep_node_ids, bootstrap)
     if not count_equal:
         return learner.fit(_training(df, features, label))
     kept, rows = _counted(df, features, label)
@@ -82,12 +91,32 @@ def fit_forest(
 def fit_large_forest(
     df: DataFrame, features: Sequence[str] | str, label: str = "label", trees: int = 100,
     depth: int = 30, seed: int = 1, subset: str = "sqrt", bootstrap: bool = True,
-) -> Model:
-    """A forest of 100 trees without a depth limit of its own; 30 is the deepest that Spark grows."""
-    return fit_forest(
-        df, features, label, trees, depth, subset=subset, seed=seed, node_memory_mb=1024, keep_node_ids=True,
-        bootstrap=bootstrap, count_equal=not bootstrap,
-    )
+) -> Model | model_walk.Forest:
+    """A forest of 100 trees without a depth limit of its own; 30 is the deepest that Spark grows.
+
+    Without ``bootstrap`` equal rows are counted, and the trees are grown in groups of at most HELD_NODES
+    nodes, of which a tree has two for each distinct row of features at most; the driver keeps each group as flat
+    arrays, in which equal trees stand once with their number, and not as Spark's objects. Every group has a seed of its own.
+    """
+    settings = {"bins": 32, "subset": subset, "node_memory_mb": 1024, "keep_node_ids": True, "bootstrap": bootstrap}
+    if bootstrap:
+        return fit_forest(df, features, label, trees, depth, seed=seed, **settings)
+    spark = df.sparkSession
+    set_checkpoint_folder(spark)
+    kept, rows = _counted(df, features, label)
+    training = _training(rows, features, label, WEIGHT)
+    leaves = kept.drop(label, WEIGHT).distinct().count()
+    most = max(1, HELD_NODES // (2 * max(1, leaves)))
+
+    def grown():
+        for start in range(0, trees, most):
+            learner = _forest_learner(label, min(most, trees - start), depth, seed=seed + start, **settings)
+            yield model_walk.Trees.read(model_walk.node_table(spark, learner.setWeightCol(WEIGHT).fit(training)))
+
+    try:
+        return model_walk.Forest.of(grown())
+    finally:
+        kept.unpersist()
 
 
 def fit_boosted(

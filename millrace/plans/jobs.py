@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import binary_label
-from millrace.operators import boosting, evaluate, logistic, models, prepare, profile, sampling
+from millrace.operators import boosting, evaluate, logistic, model_walk, models, prepare, profile, sampling
 from millrace.session import dealt
 from millrace.sources.readers import read_splits
 from millrace.sources.writers import write_coefficients, write_csv, write_history, write_splits
@@ -105,13 +105,13 @@ def logistic_job(
 class Trained:
     """A model, its scored rows with their part, and metrics per part."""
 
-    model: Model | boosting.Boosted
+    model: Model | boosting.Boosted | model_walk.Forest
     scored: DataFrame
     counts: DataFrame
     metrics: DataFrame
 
 
-def _trained(model: Model | boosting.Boosted, scored: DataFrame, counts: DataFrame) -> Trained:
+def _trained(model: Model | boosting.Boosted | model_walk.Forest, scored: DataFrame, counts: DataFrame) -> Trained:
     return Trained(model, scored, counts, evaluate.class_metrics(counts))
 
 

@@ -169,3 +169,21 @@ def test_a_large_greedy_forest_counts_equal_rows(rows, monkeypatch):
     rough = rows.select("label", *[F.round(c, 1).alias(c) for c in NAMES])
     models.fit_large_forest(rough.repartition(16), NAMES, trees=2, depth=3, subset="all", bootstrap=False)
     assert seen[0].count() == rough.distinct().count() and seen[0].rdd.getNumPartitions() == 1
+
+
+def test_a_large_greedy_forest_is_grown_and_held_in_groups(spark, rows, monkeypatch):
+    """No more nodes at a time than the driver is to hold, and the same votes as of all trees at once."""
+    seen, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: seen.append(self.getNumTrees()) or fit(self, df))
+    rough = rows.select("label", *[F.round(c, 1).alias(c) for c in NAMES])
+    monkeypatch.setattr(models, "HELD_NODES", 2 * rough.select(*NAMES).distinct().count() * 3)
+    settings = {"trees": 7, "depth": 8, "bootstrap": False}
+    forest = models.fit_large_forest(rough, NAMES, subset="all", **settings)
+    assert seen == [3, 3, 1] and forest.getNumTrees == 7 and forest.times.tolist() == [7]
+    plain = models.fit_forest(rough, NAMES, subset="all", **settings)
+    held, whole = (models.score(m, rough.distinct(), NAMES).orderBy("label", *NAMES).collect() for m in (forest, plain))
+    for a, b in zip(held, whole, strict=True):
+        assert a.prediction == b.prediction and list(a.probability) == pytest.approx(list(b.probability), abs=1e-12)
+        assert list(a.rawPrediction) == pytest.approx(list(b.rawPrediction), abs=1e-9)
+    other = models.fit_large_forest(rough, NAMES, subset="sqrt", **settings)  # a node looks at some features only
+    assert other.getNumTrees == 7 and len(other.times) > 3
