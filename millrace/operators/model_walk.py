@@ -1,7 +1,7 @@
 """Trained models as tables and plain arithmetic, apart from the classes that trained them.
 
 ``node_table`` is a tree model as rows, ``Trees`` walks its flat node arrays over Arrow batches, and
-``forward`` writes a perceptron as SQL expressions over an array column, from its weight vector alone.
+``forward`` writes a perceptron as SQL expressions over columns, from its weight vector alone.
 A model can so be stored, read, checked and applied where its class is not at hand.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -202,40 +203,49 @@ def layer_weights(weights: Sequence[float], layers: Sequence[int]) -> list[tuple
     return found
 
 
-def forward(inputs: Column, weights: Sequence[float], layers: Sequence[int]) -> list[Column]:
-    """A perceptron as expressions: one column per layer, each over the one before; the first argument
-    of each is an array. Sigmoid layers, and a soft-max at the end."""
+def forward(layers: Sequence[int], weights: Sequence[float], inputs: Sequence[str]) -> list[list[str]]:
+    """A perceptron as SQL expressions: for each layer one for each unit, over the names of the units before,
+    ``inputs`` first and then those of ``unit_name``. Sigmoid layers, and sums at the end.
 
-    def layer(matrix: np.ndarray, bias: np.ndarray, last: bool):
-        rows = np.column_stack([matrix, bias]).tolist()
-        # Written as text, which the optimizer folds into one literal.
-        table = F.expr(f"array({', '.join('array(' + ', '.join(f'{w!r}D' for w in row) + ')' for row in rows)})")
+    Every unit is a column of its own and its sum is written out, which Spark compiles; functions over array
+    elements are not compiled and take several times as long. Sums are written as even trees, or the plan would
+    be as deep as a layer is wide.
+    """
 
-        def dot(row: Column, x: Column) -> Column:
-            return F.aggregate(F.zip_with(row, x, lambda w, v: w * v), F.lit(0.0), lambda s, v: s + v)
+    def total(terms: list[str]) -> str:
+        half = len(terms) // 2
+        return f"({total(terms[:half])} + {total(terms[half:])})" if half else terms[0]
 
-        def apply(values: Column) -> Column:
-            # The layer before is bound to a name, or it would be worked out again for every output.
-            extended = F.array(F.concat(values, F.array(F.lit(1.0))))
-            sums = F.get(F.transform(extended, lambda x: F.transform(table, lambda row: dot(row, x))), F.lit(0))
-            return sums if last else F.transform(sums, lambda z: F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
+    found, before, stages = [], [f"`{c}`" for c in inputs], layer_weights(weights, layers)
+    for k, (matrix, bias) in enumerate(stages):
+        units = zip(matrix.tolist(), bias.tolist())
+        sums = [total([*(f"{w!r}D * {x}" for w, x in zip(row, before)), f"{b!r}D"]) for row, b in units]
+        found.append(sums if k == len(stages) - 1 else [f"1D / (1D + exp(-{z}))" for z in sums])
+        before = [f"`{unit_name(k, i)}`" for i in range(len(sums))]
+    return found
 
-        return apply
 
-    stages = layer_weights(weights, layers)
-    return [layer(m, b, k == len(stages) - 1) for k, (m, b) in enumerate(stages)]
+def unit_name(layer: int, unit: int) -> str:
+    return f"unit {layer} {unit}"
 
 
 def feed_forward(df: DataFrame, inputs: Column, weights: Sequence[float], layers: Sequence[int], to: str = "probability") -> DataFrame:
-    """Add the class probabilities of a perceptron as an array, by built-in functions only."""
-    held = df.withColumn(to, inputs)
-    for apply in forward(inputs, weights, layers):
-        held = held.withColumn(to, apply(F.col(to)))
-    named = F.transform(F.array(F.struct(F.col(to).alias("z"), F.array_max(to).alias("top"))), _powers)
-    held = held.withColumn(to, F.get(named, F.lit(0)))
-    total = F.array(F.struct(F.col(to).alias("e"), F.aggregate(to, F.lit(0.0), lambda s, x: s + x).alias("sum")))
-    return held.withColumn(to, F.get(F.transform(total, lambda t: F.transform(t["e"], lambda x: x / t["sum"])), F.lit(0)))
-
-
-def _powers(row: Column) -> Column:
-    return F.transform(row["z"], lambda z: F.exp(z - row["top"]))
+    """Add the class probabilities of a perceptron as an array, by built-in functions only; NULLs where an
+    input is NULL. Whether all inputs are there is asked of an array in every step: Spark then compiles each
+    step by itself, in many small methods, and the driver none. All steps as one method would be too long for it."""
+    names = [f"unit in {i}" for i in range(layers[0])]
+    given = [F.get(inputs, F.lit(i)).cast("double") for i in range(layers[0])]
+    full = reduce(Column.__and__, [x.isNotNull() for x in given])
+    held = df.withColumns({"unit full": full, **{c: F.coalesce(x, F.lit(float("nan"))) for c, x in zip(names, given)}})
+    still = F.exists(F.array(F.col("unit full")), lambda x: x)
+    old = names
+    for k, units in enumerate(forward(layers, weights, names)):
+        new = [unit_name(k, i) for i in range(len(units))]
+        held = held.withColumns({"unit full": still, **{c: F.expr(z) for c, z in zip(new, units)}}).drop(*old)
+        old = new
+    z = [F.col(c) for c in old]
+    held = held.withColumn("unit top", F.greatest(*z) if len(z) > 1 else z[0])
+    held = held.withColumns({c: F.exp(x - F.col("unit top")) for c, x in zip(old, z)})
+    held = held.withColumn("unit top", reduce(Column.__add__, z))
+    shares = F.array(*[F.when(F.col("unit full"), x / F.col("unit top")) for x in z])
+    return held.withColumn(to, shares).drop("unit full", "unit top", *old)

@@ -330,8 +330,8 @@ def perceptron_job_rows(spark: SparkSession, folder: str) -> DataFrame:
 SELECT part, count(*) AS n_rows, count(*) AS n_same_probability, count(*) AS n_same_prediction FROM sp GROUP BY part""")
 def perceptron_walk(spark: SparkSession, folder: str) -> DataFrame:
     """A net of two layers of 64 after five steps, applied from its weight vector by built-in functions
-    alone: every row gets what the model itself gives it. Functions over array elements take long for a row,
-    so the rows are dealt out over all cores first."""
+    alone: every row gets what the model itself gives it. The net takes long for a row, so the rows are dealt
+    out over all cores first."""
     df = _orders(spark, folder)
     df = sampling.split_hash(prepare.fit_zscore(df, ORDER_FEATURES).transform(df), _KEY, 0.75, seed=1)
     model = models.fit_perceptron(df.filter("part = 'train'"), ORDER_FEATURES)

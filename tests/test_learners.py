@@ -134,6 +134,20 @@ def test_a_perceptron_from_its_weights(rows):
         model_walk.feed_forward(rows, inputs, weights[1:], layers)
 
 
+def test_a_perceptron_is_walked_in_compiled_functions(spark):
+    """No sum is a function over array elements, which are not compiled; a missing input leaves no probability."""
+    layers, df = [3, 6, 4, 2], spark.createDataFrame([(1, [0.5, -1.0, 2.0]), (2, [0.5, None, 2.0])], "id long, x array<double>")
+    walked = model_walk.feed_forward(df, F.col("x"), formula_weights(layers), layers)
+    plan = walked._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "zip_with(" not in plan and walked.columns == ["id", "x", "probability"]
+    z = np.array([0.5, -1.0, 2.0])
+    for k, (matrix, bias) in enumerate(model_walk.layer_weights(formula_weights(layers), layers)):
+        z = matrix @ z + bias
+        z = z if k == 2 else 1 / (1 + np.exp(-z))
+    found = {r.id: r.probability for r in walked.collect()}
+    assert found[1] == pytest.approx(np.exp(z) / np.exp(z).sum(), abs=1e-12) and found[2] == [None, None]
+
+
 def test_given_weights_are_where_a_fit_starts(rows):
     layers = [3, 4, 2]
     start = formula_weights(layers)
